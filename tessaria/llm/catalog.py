@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, license_scan, mixing, packing, pii, simhash
+from tessaria.llm import exact_dedup, license_scan, mixing, packing, pii, quality, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_simhash": simhash.op2_simhash,
     "op3_mix_sources": mixing.op3_mix_sources,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_quality": quality.op6_quality,
     "op7_pii": pii.op7_pii,
     "op8_packing": packing.op8_packing,
 }
