@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, license_scan, mixing, packing, pii, quality, simhash
+from tessaria.llm import exact_dedup, langid, license_scan, mixing, packing, pii, quality, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality": quality.op6_quality,
     "op7_pii": pii.op7_pii,
     "op8_packing": packing.op8_packing,
+    "op9_language_id": langid.op9_language_id,
 }
 
 ORACLES = {
