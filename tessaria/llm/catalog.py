@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, langid, license_scan, mixing, packing, pii, quality, simhash
+from tessaria.llm import exact_dedup, langid, license_scan, media, mixing, packing, pii, quality, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_simhash": simhash.op2_simhash,
     "op3_mix_sources": mixing.op3_mix_sources,
+    "op4_media": media.op4_media,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_quality": quality.op6_quality,
     "op7_pii": pii.op7_pii,

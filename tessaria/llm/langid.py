@@ -212,7 +212,7 @@ def language(model: Model, text: Column) -> Column:
         spans = [[{"lang": a, "start": b, "end": c} for a, b, c in s] for _, _, s in rows]
         return pd.DataFrame({"lang": [r[0] for r in rows], "score": [r[1] for r in rows], "spans": spans})
 
-    span = T.StructType().add("lang", "string").add("start", "int").add("end", "int")
+    span = T.StructType().add("lang", "string").add("start", "integer").add("end", "integer")
     return F.pandas_udf(predict, T.StructType().add("lang", "string").add("score", "double").add("spans", T.ArrayType(span)))(text)
 
 
