@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, langid, license_scan, media, mixing, packing, pii, quality, simhash
+from tessaria.llm import exact_dedup, langid, license_scan, media, mixing, packing, pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -14,6 +14,7 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_packing": packing.op8_packing,
     "op9_language_id": langid.op9_language_id,
+    "op10_secret_scan": secrets.op10_secret_scan,
 }
 
 ORACLES = {
