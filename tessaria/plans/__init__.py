@@ -1 +1 @@
-"""..."""
+"""Schemas, descriptors, and the catalogue of queries."""

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from tessaria.plans import table_queries  # noqa: F401  registers its queries
+from tessaria.plans.queries import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -1 +1 @@
-"""..."""
+"""Incremental work: only what has not been processed."""
