@@ -19,8 +19,10 @@ its queue: texts and ids are never shuffled.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,47 +44,73 @@ BROADCAST_ROWS = 1_000_000
 PLAIN = "\t\n\x0b\x0c\r -~\xa1-\xac\xae-\xffĀ-įĲ-ž"
 
 
-class WordIds(dict):
-    """Ids of white-space separated words as little-endian 16-bit strings, found once for each word.
+#: The tokenizer's own split, over plain lower-case words: contractions, letters, single digits, all else.
+LETTERS, DIGITS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xffĀ-ž", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{LETTERS}{DIGITS}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """What byte-level vocabularies write for each byte: itself if it is visible, else a letter from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = (c for c in range(256) if c not in visible)
+    return {c: chr(c) for c in visible} | {c: chr(256 + i) for i, c in enumerate(rest)}
+
+
+class Remembered(dict):
+    """Finds what is missing and keeps it; when full, it keeps what is asked for again."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find, self.old = find, {}
+
+    def __missing__(self, word: str) -> bytes:
+        got = self.old.get(word)
+        self[word] = got = self.find(word) if got is None else got
+        return got
+
+    def trim(self) -> None:
+        if len(self) > REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
+
+
+class WordIds:
+    """Ids of texts as 16-bit numbers, found once for each white-space separated word and each of its parts.
 
     The tokenizer splits at white space and drops it, and no token spans it, so a text's ids are
-    those of its words in order.
+    those of its words in order, and a word's those of its parts.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        import re
-
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.special = re.compile("|".join(re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()))
+        model, letters = self.tokenizer.model, _byte_letters()
         self.plain = re.compile(f"[{PLAIN}]*").fullmatch
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.old.get(word)
-        if ids is None:
-            ids = np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u2").tobytes()
-        self[word] = ids
-        return ids
+        self.parts = Remembered(lambda part: np.asarray([t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))], dtype="<u2").tobytes())
+        self.words = Remembered(lambda word: b"".join(map(self.parts.__getitem__, PARTS.findall(word))))
 
     def of(self, text: str) -> np.ndarray:
         """All ids of a text."""
-        if not self.plain(text) or self.special.search(text):
+        if not self.plain(text):
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
-        if len(self) > REMEMBERED // 2:
-            self.old = dict(self)
-            self.clear()
-        return np.frombuffer(b"".join(map(self.__getitem__, text.lower().split())), dtype="<u2")
+        self.parts.trim()
+        self.words.trim()
+        return np.frombuffer(b"".join(map(self.words.__getitem__, text.lower().split())), dtype="<u2")
+
+
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """A worker's word ids, which its next tasks find filled."""
+    return WordIds(path)
 
 
 def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path: str) -> DataFrame:
     """(doc_id, source, part, before, tokens, ids): ids end with ``END``; before counts its source's tokens in the partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, before = WordIds(path), TaskContext.get().partitionId(), {}
+        words, part, before = word_ids(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             ids, lengths, starts = [], [], []
             sources = batch.column("source").to_pylist()
