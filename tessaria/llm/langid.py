@@ -164,7 +164,7 @@ class Labeller(dict):
                 self.scores = np.concatenate([self.scores, self.model.words(self.new)])
                 self.new = []
             lengths = np.array([len(x) for x in group], dtype=np.int64)
-            labels = viterbi(self.scores[ids], lengths[lengths > 0]) if ids else np.zeros(0, dtype=np.int16)
+            labels = viterbi(self.scores[ids], lengths[lengths > 0]) if ids and self.model.langs else np.zeros(len(ids), dtype=np.int16)
             ends = np.cumsum(lengths)
             done += [(x, labels[e - k : e]) for x, e, k in zip(group, ends, lengths, strict=True)]
             if len(self) > KEPT:

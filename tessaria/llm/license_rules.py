@@ -105,7 +105,7 @@ def gate() -> str:
     words = set()
     for _, _, _, _, pattern in rules():
         plain = re.sub(r"\[[^]]*\]|\(\?:[^)]*\)\??|\\d|[?^]|\(\?.*", "\n", pattern.removesuffix("(?: |$)").removeprefix("^(?:").removesuffix(")"))
-        words.add("licen" if "licen" in pattern else max(re.findall(r"[a-z0-9]+", plain), key=len))
+        words.add("licen" if re.search(r"(?:^|[ (|])licen", pattern) else max(re.findall(r"[a-z0-9]+", plain), key=len))
     words = {w for w in words if not any(w != v and w.startswith(v) for v in words)}
     letters = sorted({w[0] for w in words})
     return "(?i)(?<![0-9A-Za-z])(?:" + "|".join(f"{c}(?:{'|'.join(sorted(w[1:] for w in words if w[0] == c))})" for c in letters) + ")"

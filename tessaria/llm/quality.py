@@ -25,6 +25,8 @@ from tessaria.llm.common import fold, no_clash, table, text_of
 WIDTH, FILTERS, CELL = 6, 16, 512
 #: Bounds of the training sample, passes over it, documents in a step, step size (four times it for the output).
 SAMPLE, CHUNKS, EPOCHS, STEP, RATE = 2000, 5, 6, 32, 0.01
+#: Steps that small samples are repeated for.
+LEAST_STEPS = 300
 FOLDS, THRESHOLD = 5, 0.3
 #: Bytes convolved at once, and the longest period that the second channel sees.
 PIECE, LAGS = 128 * CELL, 40
@@ -106,8 +108,8 @@ def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
     docs, y = [_chunks(t) for t in texts], np.asarray(labels, dtype=np.float32)
     model.out_bias = float(np.log(y.mean() / (1 - y.mean())))
     state = {k: [0.0, 0.0] for k in ("filters", "bias", "out", "out_bias")}
-    step = 0
-    for _ in range(EPOCHS):
+    step, each = 0, -(-len(docs) // STEP)
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // each))):
         order = rng.permutation(len(docs))
         for at in range(0, len(order), STEP):
             step += 1
@@ -127,6 +129,9 @@ def _gradients(model: Model, docs: list[np.ndarray], y: np.ndarray) -> dict[str,
     response = model.filters[0][data[:, :n]]
     for k in range(1, WIDTH):
         response = response + model.filters[k][data[:, k : k + n]]
+    inside = data[:, WIDTH - 1 :] != 0  # what lies beyond a text's end is no part of it
+    inside[:, 0] = True
+    response = np.where(inside[:, :, None], response, np.float32(-1e9))
     best = response.argmax(axis=1)  # (chunk, filter)
     pooled = np.maximum(np.take_along_axis(response, best[:, None, :], axis=1)[:, 0, :] + model.bias, 0)
     pooled = np.concatenate([pooled, periodic(data).max(axis=1)[:, None]], axis=1)
