@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import tempfile
 import time
 import urllib.error
 import urllib.request
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -102,11 +104,27 @@ def nested_json(df: DataFrame, key: str, seq: str, fields: list[str], extra: dic
     return data.select(F.to_json(F.struct(*kept, *more)).alias("metadata"), F.to_json("data").alias("data"))
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder that executors share and read back: long plans end here, and lost executors cost nothing."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="tessaria-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def differences(fresh: DataFrame, committed: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """(side, row columns): rows that only one of two tables has; none means up to date."""
+    """(columns, side): rows that only one of two tables has, as often as it has more of them; none means up to date.
+
+    Both tables are read once: equal rows meet and cancel out.
+    """
     cols = [c for c in fresh.columns if c not in ignore]
-    a, b = fresh.select(*cols), committed.select(*cols)
-    return a.exceptAll(b).withColumn("side", F.lit("fresh")).unionByName(b.exceptAll(a).withColumn("side", F.lit("committed")))
+    both = fresh.select(*cols, F.lit(1).alias("n")).unionByName(committed.select(*cols, F.lit(-1).alias("n")))
+    left = both.groupBy(*cols).agg(F.sum("n").alias("n")).filter("n != 0")
+    return left.select(*cols, F.when(F.col("n") > 0, "fresh").otherwise("committed").alias("side"), F.explode(F.array_repeat(F.lit(1), F.abs("n").cast("int"))).alias("one")).drop("one")
 
 
 def missing_files(present: DataFrame, expected: list[str]) -> DataFrame:
