@@ -30,6 +30,8 @@ BITS, RADIUS, SEED = 64, 3, 42
 LIMIT = 128
 #: In the pipeline's stage: words in a shingle, least similarity of two shingle sets, independent fingerprints.
 NEAR_WORDS, NEAR_SIMILARITY, NEAR_SEEDS = 5, 0.8, (42, 43, 44, 45)
+#: With at most so many buckets, or pairs, to look up, their numbers are broadcast; with more that is a join.
+BROADCAST_PAIRS = 1_000_000
 
 
 def covering_masks(free: int, radius: int) -> list[int]:
@@ -209,28 +211,35 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     """
     n = no_clash(df, "row", "text")
     rows = stored(df.withColumn(n["row"], F.monotonically_increasing_id()), "rows")
-    # rows of equal texts are one node: the smallest id, then row
-    keyed = rows.select(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row")).alias("node"), F.sha2(text_of(text_col), 256).alias("same"), _word_fingerprints(text_of(text_col)).alias("fps"))
+    # rows of equal texts are one node, named by its smallest row number
+    own_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row"))
+    keyed = rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _word_fingerprints(text_of(text_col)).alias("fps"))
     keyed = stored(keyed, "wordprints")
-    nodes = keyed.groupBy("same").agg(F.min("node").alias("node"), F.min("fps").alias("fps"))
-    masks = F.array(*[F.lit(_signed(m)) for m in covering_masks((1 << BITS) - 1, RADIUS)])
+    nodes = keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("fps").alias("fps"))
     prints = nodes.select("node", F.posexplode("fps").alias("space", "fp"))
-    by_print = prints.groupBy("space", "fp").agg(F.min("node").alias("first"), F.count("*").alias("n"))
-    # within a fingerprint: each with the smallest
-    equal = prints.join(by_print.filter("n > 1").select("space", "fp", "first"), ["space", "fp"]).select(F.col("first.row").alias("a"), F.col("node.row").alias("b"))
-    tables = by_print.select("space", F.struct(F.col("fp"), F.col("first").alias("node")).alias("x"), F.explode(masks).alias("mask")).withColumn("key", F.col("x.fp").bitwiseAND(F.col("mask")))
-    sizes = tables.groupBy("space", "mask", "key").agg(F.count("*").alias("n"), F.min_by("x", "x.node").alias("first")).filter("n > 1")
-    buckets = tables.join(sizes, ["space", "mask", "key"])
-    star = buckets.select(F.struct(F.col("first").alias("a"), F.col("x").alias("b")).alias("p"))
-    chain = buckets.filter(F.col("n") <= LIMIT).groupBy("space", "mask", "key").agg(F.collect_list("x").alias("m")).select(F.explode(_neighbours(F.col("m"))).alias("p"))
-    found = star.unionByName(chain).filter(F.bit_count(F.col("p.a.fp").bitwiseXOR(F.col("p.b.fp"))) <= 2 * RADIUS).select(F.col("p.a.node.row").alias("a"), F.col("p.b.node.row").alias("b"))
+    by_print = stored(prints.groupBy("space", "fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), "prints")
+    # nodes that share a fingerprint: each with the first
+    equal = prints.join(by_print.filter("n > 1").select("space", "fp", "first"), ["space", "fp"]).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    masks = F.array(*[F.lit(_signed(m)) for m in covering_masks((1 << BITS) - 1, RADIUS)])
+    tables = by_print.select("space", "fp", F.col("first").alias("node"), F.explode(masks).alias("mask"))
+    tables = tables.select("fp", "node", F.xxhash64("space", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"))
+    # most buckets have one member; only the numbers of the others leave this count, and only their members go on
+    shared = stored(tables.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
+    held = tables.join(F.broadcast(shared) if shared.count() <= BROADCAST_PAIRS else shared, "bucket")
+    held = stored(held, "held")
+    firsts = held.groupBy("bucket").agg(F.min_by(F.struct("fp", "node"), "node").alias("a")).withColumnRenamed("bucket", "f_bucket")
+    star = held.join(firsts, F.col("bucket") == F.col("f_bucket")).select("a", F.struct("fp", "node").alias("b"))
+    chain = held.filter(F.col("size") <= LIMIT).groupBy("bucket").agg(F.collect_list(F.struct("fp", "node")).alias("m")).select(F.explode(_neighbours(F.col("m"))).alias("p")).select("p.a", "p.b")
+    found = star.unionByName(chain).filter(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= 2 * RADIUS).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     pairs = stored(equal.unionByName(found).filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    texts = rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w_row")).distinct()
+    wanted = F.broadcast(wanted) if pairs.count() <= BROADCAST_PAIRS else wanted
+    # only the texts of candidates are shuffled
+    texts = rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")).join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
     left = pairs.join(texts, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
     both = left.join(texts, F.col("b") == F.col("t_row")).select("a", "b", _alike("ta", "t").alias("alike"))
     links = both.filter("alike").select("a", "b")
     roots = components(links, "a", "b")
-    same = keyed.join(nodes.select("same", F.col("node.row").alias("rep")), "same").select("node", "rep")
-    grouped = same.join(roots.withColumnRenamed("node", "r_node"), F.col("rep") == F.col("r_node"), "left")
-    least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("node").alias("node")).select(F.col("node.row").alias("keep_row"))
+    grouped = keyed.join(nodes.select("same", "node"), "same").select("own", F.col("node").alias("rep")).join(roots, F.col("rep") == F.col("node"), "left")
+    least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias("keep_row"))
     return rows.join(least, F.col(n["row"]) == F.col("keep_row"), "left_semi").select(*df.columns)
