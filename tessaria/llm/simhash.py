@@ -11,14 +11,21 @@ Equal fingerprints are first made one. A bucket with more than ``limit`` differe
 is covered again on the bits its mask dropped, in further tables, until no bucket is larger: all
 members agree on the kept bits, so once k bits are free there are at most 2 ** k members. No
 bucket lists all its pairs either: each yields a spanning forest of its links.
+
+The pipeline's stage needs a similarity of 0.8 of five-word shingles, which is about ten differing
+bits and beyond any small radius. It finds its candidates by an exact prefix join instead.
 """
 
 from __future__ import annotations
 
+from fractions import Fraction
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +35,13 @@ from tessaria.llm.components import components
 BITS, RADIUS, SEED = 64, 3, 42
 #: The largest bucket whose members are compared; larger ones are covered again.
 LIMIT = 128
-#: In the pipeline's stage: words in a shingle, least similarity of two shingle sets, independent fingerprints.
-NEAR_WORDS, NEAR_SIMILARITY, NEAR_SEEDS = 5, 0.8, (42, 43, 44, 45)
+#: In the pipeline's stage: words in a shingle, least similarity of two shingle sets, and that as a fraction.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
+SHARE, OF = Fraction(str(NEAR_SIMILARITY)).as_integer_ratio()
+#: Shingles that are put last in the stage's order, the most frequent first to go; any number gives the same result.
+LATE = 100_000
+#: With how many of a shingle's texts all others are compared, round by round, before all pairs that are still apart are.
+PIVOTS = (8, 64)
 #: With at most so many buckets, or pairs, to look up, their numbers are broadcast; with more that is a join.
 BROADCAST_PAIRS = 1_000_000
 
@@ -73,29 +85,11 @@ def _majority(hashes: np.ndarray) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def word_fingerprints(text: str | None, seeds: tuple[int, ...] = NEAR_SEEDS) -> list[int]:
-    """One fingerprint for each seed over the set of a text's words.
-
-    A changed word alters one feature and not ``shingle`` of them, so texts whose five-word
-    shingles are alike to 0.8 stay within the radius in at least one of the fingerprints.
-    """
-    words = sorted(set((text or "").encode("utf-8", "surrogatepass").lower().split()))
-    if not words:
-        return [0] * len(seeds)
-    h = xxhash.xxh64_intdigest
-    return [_majority(np.fromiter((h(w, s) for w in words), dtype="<u8", count=len(words))) for s in seeds]
-
-
 @F.pandas_udf(T.LongType())
 def _fingerprint3(texts: pd.Series) -> pd.Series:
     return pd.Series([_signed(fingerprint(t)) for t in texts], dtype="int64")
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _word_fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series([[_signed(x) for x in word_fingerprints(t)] for t in texts], dtype=object)
-
-
 def _distances_forest(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links (index, index) that connect what is within ``radius`` of each other, at most one per member."""
     n = len(values)
@@ -182,10 +176,14 @@ def _shingles(text: str | None, k: int) -> set[int]:
     return {h(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)}
 
 
+_recent_shingles = lru_cache(maxsize=8)(_shingles)
+
+
 def similarity(a: str | None, b: str | None, k: int = NEAR_WORDS) -> float:
     """Jaccard similarity of two texts' sets of ``k``-word shingles (a shorter text is one shingle)."""
-    x, y = _shingles(a, k), _shingles(b, k)
-    return len(x & y) / len(x | y)
+    x, y = _recent_shingles(a, k), _recent_shingles(b, k)
+    both = len(x & y)
+    return both / (len(x) + len(y) - both)
 
 
 @F.pandas_udf(T.BooleanType())
@@ -193,53 +191,133 @@ def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) >= NEAR_SIMILARITY for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def _neighbours(members: Column) -> Column:
-    """Each of a bucket's members with the one before it, in order of the fingerprints."""
-    ordered = F.array_sort(members)
-    rest = F.slice(ordered, 2, F.greatest(F.size(ordered) - 1, F.lit(0)))
-    return F.transform(rest, lambda x, i: F.struct(F.element_at(ordered, i + 1).alias("a"), x.alias("b")))
+def _prefixes(text: Column, late: list[int]) -> Column:
+    """struct<n,tokens>: the number of a text's different shingles, and the first of them in the stage's order.
+
+    The order is by hash, but for ``late``, which come last and in the order given. Of n shingles an
+    alike text has ceil(0.8 n) at least, so the first that both have is among each one's first
+    n - ceil(0.8 n) + 1, whatever the order.
+    """
+    at = np.argsort(np.asarray(late, dtype=np.int64), kind="stable")
+    known = np.asarray(late, dtype=np.int64)[at]
+
+    def run(texts: pd.Series) -> pd.DataFrame:
+        sizes, out = [], []
+        for t in texts:
+            own = _shingles(t, NEAR_WORDS)
+            h = np.sort(np.fromiter(own, dtype="<u8", count=len(own)).view("<i8"))
+            if len(known):
+                spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                h = h[np.argsort(np.where(known[spot] == h, at[spot] + 1, 0), kind="stable")]
+            sizes.append(len(h))
+            out.append(h[: len(h) + (-len(h) * SHARE) // OF + 1])
+        return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": pd.Series(out, dtype=object)})
+
+    return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())))(text)
+
+
+def _possible(a_n, a_pos, b_n, b_pos):
+    """Whether two sets of shingles whose first common one has these positions can be alike: columns or arrays."""
+    rest = a_n - a_pos, b_n - b_pos
+    both = SHARE * (a_n + b_n)
+    return (rest[0] * (SHARE + OF) >= both) & (rest[1] * (SHARE + OF) >= both)
+
+
+@F.pandas_udf(T.ArrayType(T.StructType().add("a", "long").add("b", "long")))
+def _open_pairs(nodes: pd.Series, sizes: pd.Series, places: pd.Series, groups: pd.Series, parts: pd.Series, across: pd.Series) -> pd.Series:
+    """The possible pairs of a bucket's members of different groups; ``across``: of different parts only."""
+    out = []
+    for node, n, pos, group, part, cross in zip(nodes, sizes, places, groups, parts, across, strict=True):
+        ok = _possible(n[:, None].astype("i8"), pos[:, None].astype("i8"), n[None, :].astype("i8"), pos[None, :].astype("i8")) & (group[:, None] != group[None, :]) & (node[:, None] < node[None, :])
+        if cross:
+            ok &= part[:, None] != part[None, :]
+        out.append([{"a": int(node[i]), "b": int(node[j])} for i, j in zip(*np.nonzero(ok), strict=True)])
+    return pd.Series(out, dtype=object)
+
+
+def _sizes(nodes: DataFrame) -> DataFrame:
+    """(token, size) of the tokens that several nodes have; most have one, and only the others leave this count."""
+    return stored(nodes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """``df``, broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_PAIRS else df
+
+
+def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the nodes exactly as all pairs alike to 0.8 do.
+
+    ``nodes`` has (node, n, tokens), their prefixes in the order of hashes; ``texts`` (t_row, t) the
+    text of each node. Shingles in the prefixes of many nodes are first put last in the order. A
+    token's members are then compared with the first few of them, in the order of a hash; after that
+    only members of different groups are, in the end all of them, a large token's in parts of
+    about ``LIMIT``.
+    """
+    sizes = _sizes(nodes)
+    late = sizes.filter(F.col("size") > LIMIT).orderBy(F.desc("size"), "token").limit(LATE).collect()  # LATE rows at most
+    if late:
+        order = [r.token for r in reversed(late)]
+        heavy = F.broadcast(nodes.sparkSession.createDataFrame([(t,) for t in order], "token bigint"))
+        touched = stored(nodes.select("node", F.explode("tokens").alias("token")).join(heavy, "token", "left_semi").select("node").distinct(), "touched")
+        again = texts.join(_few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.n", "p.tokens")
+        nodes = stored(nodes.join(_few(touched), "node", "left_anti").select("node", "n", "tokens").unionByName(again), "nodes")
+        sizes = _sizes(nodes)
+    held = stored(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(_few(sizes), "token"), "held")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        # a common shingle outside both prefixes is in the rest of the one that ends first
+        own = nodes.select(F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("tokens").alias("p_tokens"))
+        one = pairs.join(own, F.col("a") == F.col("p_node")).select("a", "b", F.col("p_n").alias("a_n"), F.col("p_tokens").alias("a_tokens"))
+        most = F.size(F.array_intersect("a_tokens", "p_tokens")) + F.greatest(F.col("a_n") - F.size("a_tokens"), F.col("p_n") - F.size("p_tokens"))
+        pairs = one.join(own, F.col("b") == F.col("p_node")).filter(most * (SHARE + OF) >= SHARE * (F.col("a_n") + F.col("p_n"))).select("a", "b")
+        pairs = stored(pairs, "close")
+        # only the texts of candidates are shuffled
+        wanted = _few(pairs.select(F.explode(F.array("a", "b")).alias("w_row")).distinct())
+        own = texts.join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
+        left = pairs.join(own, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
+        return stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike("ta", "t").alias("alike")).filter("alike").select("a", "b"), "links")
+
+    links, state, last = None, held.withColumn("group", F.col("node")), 0
+    for pivots in PIVOTS:
+        several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
+        state = state.join(_few(several), "token", "left_semi")
+        nth = F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("node"), "node"))
+        firsts = state.select("token", F.struct("node", "n", "pos", "group").alias("f"), nth.alias("nth")).filter(F.col("nth") <= pivots).filter(F.col("nth") > last).select(F.col("token").alias("f_token"), "f")
+        apart = (F.col("group") != F.col("f.group")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos"))
+        found = alike(state.join(firsts, (F.col("token") == F.col("f_token")) & apart).select(F.col("f.node").alias("a"), F.col("node").alias("b")))
+        links = found if links is None else links.unionByName(found)
+        groups = components(links, "a", "b").withColumnRenamed("node", "g_node")
+        state = state.drop("group").join(_few(groups), F.col("node") == F.col("g_node"), "left").select(*held.columns, F.coalesce("root", "node").alias("group"))
+        state = stored(state.filter(F.col("size") > pivots), "grouped")  # of the other tokens all pairs are compared
+        last = pivots
+    several = state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
+    parts = F.ceil(F.col("size") / LIMIT).cast("int")
+    cut = state.join(_few(stored(several, "several")), "token", "left_semi").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part")).alias("members"))
+    rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(*[F.col(f"members.{k}") for k in ("node", "n", "pos", "group", "part")], F.col("i") != F.col("j"))).alias("l"))
+    return links.unionByName(alike(rest.select("l.a", "l.b")))
 
 
 def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``df`` with one row of each group of near duplicates, the one with the smallest id.
 
-    Rows are linked if their sets of five-word shingles have a similarity of 0.8 or more. Four
-    fingerprints over the set of words find candidates in covering tables; every candidate is
-    compared on its whole text. Of a bucket only its smallest member and neighbours in order are
-    compared, so a group of copies costs links in proportion to its size. Texts without a word
-    are alike. Rows with a null id stay, one for each different text.
+    Rows are linked if their sets of five-word shingles have a similarity of 0.8 or more, and
+    every such pair is found, whatever was edited: candidates are the texts with a common shingle
+    in their prefixes (``near_links``), and each is compared on its whole text, unless the two are
+    linked already. Texts without a word are alike. Rows with a null id stay, one for each
+    different text.
     """
-    n = no_clash(df, "row", "text")
+    n = no_clash(df, "row")
     rows = stored(df.withColumn(n["row"], F.monotonically_increasing_id()), "rows")
     # rows of equal texts are one node, named by its smallest row number
     own_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row"))
-    keyed = rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _word_fingerprints(text_of(text_col)).alias("fps"))
-    keyed = stored(keyed, "wordprints")
-    nodes = keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("fps").alias("fps"))
-    prints = nodes.select("node", F.posexplode("fps").alias("space", "fp"))
-    by_print = stored(prints.groupBy("space", "fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), "prints")
-    # nodes that share a fingerprint: each with the first
-    equal = prints.join(by_print.filter("n > 1").select("space", "fp", "first"), ["space", "fp"]).select(F.col("first").alias("a"), F.col("node").alias("b"))
-    masks = F.array(*[F.lit(_signed(m)) for m in covering_masks((1 << BITS) - 1, RADIUS)])
-    tables = by_print.select("space", "fp", F.col("first").alias("node"), F.explode(masks).alias("mask"))
-    tables = tables.select("fp", "node", F.xxhash64("space", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("bucket"))
-    # most buckets have one member; only the numbers of the others leave this count, and only their members go on
-    shared = stored(tables.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
-    held = tables.join(F.broadcast(shared) if shared.count() <= BROADCAST_PAIRS else shared, "bucket")
-    held = stored(held, "held")
-    firsts = held.groupBy("bucket").agg(F.min_by(F.struct("fp", "node"), "node").alias("a")).withColumnRenamed("bucket", "f_bucket")
-    star = held.join(firsts, F.col("bucket") == F.col("f_bucket")).select("a", F.struct("fp", "node").alias("b"))
-    chain = held.filter(F.col("size") <= LIMIT).groupBy("bucket").agg(F.collect_list(F.struct("fp", "node")).alias("m")).select(F.explode(_neighbours(F.col("m"))).alias("p")).select("p.a", "p.b")
-    found = star.unionByName(chain).filter(F.bit_count(F.col("a.fp").bitwiseXOR(F.col("b.fp"))) <= 2 * RADIUS).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-    pairs = stored(equal.unionByName(found).filter("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w_row")).distinct()
-    wanted = F.broadcast(wanted) if pairs.count() <= BROADCAST_PAIRS else wanted
-    # only the texts of candidates are shuffled
-    texts = rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")).join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
-    left = pairs.join(texts, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
-    both = left.join(texts, F.col("b") == F.col("t_row")).select("a", "b", _alike("ta", "t").alias("alike"))
-    links = both.filter("alike").select("a", "b")
+    keyed = stored(rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _prefixes(text_of(text_col), []).alias("p")), "prefixes")
+    nodes = stored(keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("p").alias("p")).select("same", "node", "p.n", "p.tokens"), "nodes")
+    links = near_links(nodes.select("node", "n", "tokens"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
     roots = components(links, "a", "b")
-    grouped = keyed.join(nodes.select("same", "node"), "same").select("own", F.col("node").alias("rep")).join(roots, F.col("rep") == F.col("node"), "left")
+    grouped = keyed.join(nodes.select("same", F.col("node").alias("rep")), "same").select("own", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias("keep_row"))
     return rows.join(least, F.col(n["row"]) == F.col("keep_row"), "left_semi").select(*df.columns)

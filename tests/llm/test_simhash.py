@@ -132,3 +132,28 @@ def test_stage_on_odd_rows(documents):
     out = s.drop_near_duplicates(rows).collect()
     assert len(out) == 6  # blanks are alike, three spellings are alike
     assert s.drop_near_duplicates(rows.limit(0)).count() == 0 and s.near_groups(rows.limit(0)).count() == 0
+
+
+def edited_texts(n=60):
+    """Texts with one contiguous edit each, to a similarity just above 0.8, and others just below."""
+    rng = np.random.default_rng(11)
+    words = [f"v{i}" for i in range(4000)]
+    pick = lambda k: rng.choice(words, k).tolist()
+    texts = []
+    for i in range(n):
+        t = pick(int(rng.integers(100, 400)))
+        m = len(t)
+        appended, cut = t + pick(int(m * 0.22)), t[: int(m * 0.83)]
+        block = t[: m // 3] + pick(int(m * 0.085)) + t[m // 3 + int(m * 0.085) :]
+        below = t + pick(int(m * 0.3))
+        texts += [" ".join(x) for x in (t, (appended, cut, block)[i % 3], below)]
+    return texts
+
+
+def test_stage_finds_contiguous_edits(documents):
+    texts = edited_texts()
+    alike = [(i, i + 1) for i in range(0, len(texts), 3) if 0.8 <= s.similarity(texts[i], texts[i + 1]) < 0.85]
+    assert len(alike) > 50
+    kept = {r.doc_id for r in s.drop_near_duplicates(documents(texts)).collect()}
+    assert not [b for _, b in alike if b in kept]  # each is linked to the text before it, which has a smaller id
+    assert all(i in kept for i in range(len(texts)) if i % 3 != 1)
