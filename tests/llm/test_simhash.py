@@ -157,3 +157,32 @@ def test_stage_finds_contiguous_edits(documents):
     kept = {r.doc_id for r in s.drop_near_duplicates(documents(texts)).collect()}
     assert not [b for _, b in alike if b in kept]  # each is linked to the text before it, which has a smaller id
     assert all(i in kept for i in range(len(texts)) if i % 3 != 1)
+
+
+def test_stage_is_exact_where_a_shingle_is_common(documents, monkeypatch):
+    monkeypatch.setattr(s, "LIMIT", 8)
+    rng = np.random.default_rng(12)
+    line, words = [f"common{i}" for i in range(60)], [f"u{i}" for i in range(4000)]
+    texts = []
+    for i in range(150):  # pairs that share most with all others and are alike only to each other or to a few
+        own = rng.choice(words, 22).tolist()
+        texts.append(" ".join(line + own))
+        if i % 3 == 0:
+            texts.append(" ".join(line + own[:-2]))
+            texts.append(" ".join(line[3:] + own))
+    order = rng.permutation(len(texts))
+    texts = [texts[i] for i in order]
+    names = list(range(len(texts)))
+
+    def find(i):
+        while names[i] != i:
+            i = names[i]
+        return i
+
+    for i, j in combinations(range(len(texts)), 2):
+        if s.similarity(texts[i], texts[j]) >= s.NEAR_SIMILARITY:
+            a, b = find(i), find(j)
+            names[max(a, b)] = min(a, b)
+    want = {find(i) for i in range(len(texts))}
+    assert 100 < len(want) < len(texts)
+    assert {r.doc_id for r in s.drop_near_duplicates(documents(texts)).collect()} == want
