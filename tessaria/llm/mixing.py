@@ -27,6 +27,19 @@ def _key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s:"), source), F.lit("none"))
 
 
+def queue_order(id_col: str = "doc_id") -> Column:
+    """The digest that orders a source's documents."""
+    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+
+
+def target_weights(df: DataFrame, source_col: str = "source", text_col: str = "text", temper: float = TEMPER) -> dict[str | None, int]:
+    """Each source's tempered share of the mix in billionths; a row for each source comes to the driver."""
+    sizes = df.groupBy(F.col(source_col).alias("source")).agg(F.sum(F.length(text_of(text_col))).alias("chars")).collect()
+    powers = {r.source: float(max(r.chars, 1)) ** temper for r in sizes}
+    total = sum(powers.values())
+    return {k: max(1, round(1_000_000_000 * w / total)) for k, w in powers.items()}
+
+
 def target_slots(sizes: DataFrame, slots: int = SLOTS, temper: float = TEMPER, weights: dict[str, float] | None = None) -> DataFrame:
     """(m_key, due): each source's slots in a period, from given weights or its tempered size."""
     spark = sizes.sparkSession
@@ -82,7 +95,7 @@ def mix(
     holds more than 16 ** -SPLIT_DIGITS of a source.
     """
     n = no_clash(df, "key", "order", "part", "chars")
-    rows = df.withColumns({n["key"]: _key(F.col(source_col)), n["order"]: F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), n["chars"]: F.length(text_of(text_col)).cast("long")})
+    rows = df.withColumns({n["key"]: _key(F.col(source_col)), n["order"]: queue_order(id_col), n["chars"]: F.length(text_of(text_col)).cast("long")})
     rows = rows.withColumn(n["part"], F.substring(n["order"], 1, SPLIT_DIGITS))
     parts = rows.groupBy(F.col(n["key"]).alias("m_key"), F.col(n["part"]).alias("m_part")).agg(F.sum(n["chars"]).alias("m_chars"))
     before = parts.select("m_key", "m_part", (F.sum("m_chars").over(W.partitionBy("m_key").orderBy("m_part")) - F.col("m_chars")).alias("m_before"))

@@ -9,12 +9,13 @@ windows before w, source i has been served
 
 tokens: every window is full, every deficit stays below one token, and any partition computes
 any window's deficits from w alone, so nothing is carried from task to task. Targets other than
-the sources' own proportions hold until the first source runs low; what is then left is packed
-by its own proportions, so that all queues end together and only the last window has padding.
+the sources' own proportions hold until a source runs low; the others then keep theirs among
+themselves. What none of these windows takes is packed by its own proportions, so that all queues
+end together and only the last window has padding.
 
 Tokenising writes each partition's ids, with the tokens of its source before each document, to
 the shared folder. Only the tokens per (source, partition) are summed up to place a document in
-its queue: texts and ids are never shuffled.
+its queue: texts and ids are never shuffled, unless the caller orders the queues.
 """
 
 from __future__ import annotations
@@ -28,11 +29,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessaria.llm.common import shared_dir, stored, table, text_of
+from tessaria.llm.mixing import SPLIT_DIGITS
 
 WINDOW, END = 4096, 2
 VOCABULARY = "word_bpe_49k.json"
@@ -106,8 +108,13 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path: str) -> DataFrame:
-    """(doc_id, source, part, before, tokens, ids): ids end with ``END``; before counts its source's tokens in the partition."""
+def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path: str, order: Column | None = None) -> DataFrame:
+    """(doc_id, source, part, before, tokens, ids): ids end with ``END``; before counts its source's tokens in the partition.
+
+    With an ``order`` also (digest, chars): that, and the characters of the text.
+    """
+    more = [] if order is None else [order.alias("digest"), F.length(text_of(text_col)).cast("bigint").alias("chars")]
+    carried = ["digest", "chars"][: len(more)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, before = word_ids(path), TaskContext.get().partitionId(), {}
@@ -122,12 +129,12 @@ def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path:
                 lengths.append(n)
                 ids.append(own.tobytes() + END.to_bytes(2, "little"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sources, pa.string()), pa.array([part] * len(ids), pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "source", "part", "before", "tokens", "ids"],
+                [batch.column("doc_id"), pa.array(sources, pa.string()), pa.array([part] * len(ids), pa.int64()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary()), *map(batch.column, carried)],
+                names=["doc_id", "source", "part", "before", "tokens", "ids", *carried],
             )
 
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.concat(F.lit("s:"), F.col(source_col)), F.lit("none")).alias("source"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, source string, part bigint, before bigint, tokens bigint, ids binary")
+    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.concat(F.lit("s:"), F.col(source_col)), F.lit("none")).alias("source"), text_of(text_col).alias("text"), *more)
+    return rows.mapInArrow(run, "doc_id bigint, source string, part bigint, before bigint, tokens bigint, ids binary" + ", digest string, chars bigint" * bool(more))
 
 
 class Mixture:
@@ -140,13 +147,16 @@ class Mixture:
     def __init__(self, totals: list[int], weights: list[int] | None = None, window: int = WINDOW):
         self.window, self.phases = window, []  # (first window, first token, tokens, prefix sums of shares, served before by source)
         served, at = [0] * len(totals), 0
-        if weights is not None and sum(weights) and all(totals):
-            share = sum(weights)
-            full = min(((t - 1) * share // w for t, w in zip(totals, weights, strict=True) if w), default=0) // window
-            if full > 0:
-                prefix = self._prefix(weights)
-                self.phases.append((0, 0, full * window, prefix, served))
-                at, served = full, [self._cut(full * window, prefix, i) for i in range(len(totals))]
+        active = [0] * len(totals) if weights is None else list(weights)
+        while share := sum(active):
+            windows = [(t - s - 1) * share // w // window if w else None for t, s, w in zip(totals, served, active, strict=True)]
+            full = min(x for x in windows if x is not None)
+            if full < 1:  # a source has less left than a window takes
+                active = [0 if x is not None and x < 1 else w for x, w in zip(windows, active, strict=True)]
+                continue
+            prefix = self._prefix(active)
+            self.phases.append((at, at * window, full * window, prefix, served))
+            at, served = at + full, [s + self._cut(full * window, prefix, i) for i, s in enumerate(served)]
         left = [t - s for t, s in zip(totals, served, strict=True)]
         if sum(left):
             self.phases.append((at, at * window, sum(left), self._prefix(left), served))
@@ -196,16 +206,23 @@ def pack(
     id_col: str = "doc_id",
     weights: dict[str | None, int] | None = None,
     with_ids: bool = False,
+    order: Column | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and the ids).
 
     ``path`` is the vocabulary file of a public tokenizer with under 65,536 ids. Null and empty
     texts have one token, the end; null sources are a source of their own; repeated rows are
     packed as often as they occur; an empty table gives an empty result. A null id stays null.
+    Queues follow the scan, or ``order``, a column of hex digests; then id and length break ties.
     """
     spark = df.sparkSession
     shared_dir(spark)
-    ids = stored(tokenised(df, source_col, text_col, id_col, path), "tokens")
+    ids = stored(tokenised(df, source_col, text_col, id_col, path, order), "tokens")
+    if order is not None:
+        # a queue's running sum is split by digest prefix, so that no task holds more than 16 ** -SPLIT_DIGITS of a source
+        cell = F.conv(F.substring("digest", 1, SPLIT_DIGITS), 16, 10).cast("bigint")
+        within = W.partitionBy("source", "part").orderBy("digest", "doc_id", "chars").rowsBetween(W.unboundedPreceding, W.currentRow)
+        ids = ids.withColumn("part", cell).withColumn("before", F.sum("tokens").over(within) - F.col("tokens"))
     parts = ids.groupBy("source", "part").agg(F.sum("tokens").alias("n"))
     queue = W.partitionBy("source").orderBy("part")
     bases = stored(parts.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), (F.sum("n").over(queue) - F.col("n")).alias("base"), "n"), "queues")

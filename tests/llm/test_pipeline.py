@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
-from tessaria.llm import simhash  # noqa: E402
+from tessaria.llm import mixing, simhash  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,3 +41,21 @@ def test_run(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert got.columns == stages[-1].columns
     assert sum(r.length for r in got.collect()) == sum(r.length for r in stages[-1].collect())
+
+
+def test_windows_hold_the_target_weights_in_the_order_of_the_mix(spark, documents):
+    rows = documents(["word " * 600] * 240, sources=["big" if i % 8 else "small" for i in range(240)])
+    targets = mixing.target_weights(rows)
+    shares = {k: v / sum(targets.values()) for k, v in targets.items()}
+    assert abs(shares["small"] - 1 / (1 + 7**0.5)) < 1e-6
+    out = corpus_pipeline.pack_stage(spark, corpus_pipeline.mix_stage(spark, rows, ""), "").collect()
+    windows = int(30 * 601 / 4096 / shares["small"]) - 1  # until the small source runs low
+    assert windows > 5
+    small = {r.doc_id for r in rows.filter("source = 'small'").collect()}
+    for w in range(windows):
+        here = [r for r in out if r.sequence_id == w]
+        assert sum(r.length for r in here) == 4096
+        assert abs(sum(r.length for r in here if r.doc_id in small) - 4096 * shares["small"]) < 2
+    for ids in (small, set(range(240)) - small):
+        packed = [r.doc_id for r in sorted(out, key=lambda r: (r.sequence_id, r.offset)) if r.doc_id in ids and r.start == 0]
+        assert packed == [r.doc_id for r in mixing.mix(rows).orderBy("m_slot", "m_start").collect() if r.doc_id in ids]
