@@ -80,14 +80,16 @@ class WordIds:
     """Ids of texts as 16-bit numbers, found once for each white-space separated word and each of its parts.
 
     The tokenizer splits at white space and drops it, and no token spans it, so a text's ids are
-    those of its words in order, and a word's those of its parts.
+    those of its words in order, and a word's those of its parts. Texts that hold an added token,
+    or characters that normalisation may change, go through the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # tokens added to the vocabulary are found in the text before it is split into words
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         model, letters = self.tokenizer.model, _byte_letters()
         self.plain = re.compile(f"[{PLAIN}]*").fullmatch
         self.parts = Remembered(lambda part: np.asarray([t.id for t in model.tokenize(part.encode().decode("latin-1").translate(letters))], dtype="<u2").tobytes())
@@ -95,11 +97,12 @@ class WordIds:
 
     def of(self, text: str) -> np.ndarray:
         """All ids of a text."""
-        if not self.plain(text):
+        low = text.lower()
+        if not self.plain(text) or any(t in low for t in self.added):
             return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u2")
         self.parts.trim()
         self.words.trim()
-        return np.frombuffer(b"".join(map(self.words.__getitem__, text.lower().split())), dtype="<u2")
+        return np.frombuffer(b"".join(map(self.words.__getitem__, low.split())), dtype="<u2")
 
 
 @lru_cache(maxsize=2)

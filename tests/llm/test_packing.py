@@ -8,16 +8,14 @@ import pytest
 
 from tessaria.llm.packing import END, WINDOW, Mixture, WordIds, pack, tokenizer_path
 
-TEXTS = ["", None, "Hello, WORLD's 12 dogs!", "naïve café Straße", "é combining ΣΣ 你好", "<|endoftext|> a", "x" * 700, "a b\x1fc", "word " * 9000]
+TEXTS = ["", None, "Hello, WORLD's 12 dogs!", "naïve café Straße", "é combining ΣΣ 你好", "<|endoftext|> a", "ab <|endoftext|> cd", "AB<|EndOfText|>x <|startoftext|>", "x" * 700, "a b\x1fc", "word " * 9000]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path())
 
 
 def test_word_ids_equal_the_tokenizer(tokenizer):
@@ -53,7 +51,7 @@ def whole(rows, expected):
 
 @pytest.mark.parametrize("weights", [None, {"a": 3, "b": 1, None: 1}, {"a": 1}])
 def test_pack_is_whole_and_tight(spark, tokenizer, weights):
-    rows = [(i, TEXTS[i % len(TEXTS)], ["a", "b", None][i % 3], "extra") for i in range(60)]
+    rows = [(i, TEXTS[i % len(TEXTS)], ["a", "b", None][i % 3], "extra") for i in range(66)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, tokens string").repartition(4)
     out = pack(df, tokenizer_path(), weights=weights).collect()
     expected = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, END] for i, t, *_ in rows}
