@@ -5,9 +5,9 @@ that script. Each of these scores the word by its character n-grams and as a who
 a penalty for every switch labels spans of one language; the language with most letters is the
 text's, its share of the letters the score.
 
-The n-gram tables are fitted on the driver, on a bounded sample: at most ``SAMPLE`` documents of
-each language, of each at most ``SAMPLE_CHARS`` characters of its whole text. Every word of every
-text is labelled.
+The n-gram tables are fitted on the words of a bounded sample: at most ``SAMPLE`` documents of
+each language, their whole texts. Their words are counted where they are, and only the counts come
+to the driver. Every word of every text is labelled.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,8 @@ from pyspark.sql import types as T
 from tessaria.llm.common import fold, table, text_of
 
 FOLDS, HELD_OUT = 3, 1
-SAMPLE, SAMPLE_CHARS = 150, 20_000
+#: Documents of each language that the model is fitted on.
+SAMPLE = 150
 GRAMS, SMOOTH, SWITCH = (2, 3), 0.5, 6.0
 #: A language uses a script if that has this share of its words.
 USES = 0.01
@@ -57,15 +59,15 @@ def grams(word: str) -> list[str]:
 class Model:
     """Log probabilities of n-grams by language, and the scripts of each language."""
 
-    def __init__(self, samples: list[tuple[str, str]]):
-        """samples: (language, text). Languages come in order of their names."""
-        self.langs = sorted({lang for lang, _ in samples})
+    def __init__(self, samples: dict[str, dict[str, int]]):
+        """samples: by language, how often each lower-case word occurs. Languages come in order of their names."""
+        self.langs = sorted(samples)
         counts, words = [Counter() for _ in self.langs], [Counter() for _ in self.langs]
-        for lang, text in samples:
-            i = self.langs.index(lang)
-            for w in WORD.findall(text.lower()):
-                counts[i].update(grams(w))
-                words[i][script(w)] += 1
+        for i, lang in enumerate(self.langs):
+            for w, n in samples[lang].items():
+                for g in grams(w):
+                    counts[i][g] += n
+                words[i][script(w)] += n
         seen = sorted({g for c in counts for g, n in c.items() if n > 1})
         totals = {k: np.array([sum(n for g, n in c.items() if self._kind(g) == k) for c in counts], dtype=np.float64) for k in (*GRAMS, 0)}
         sizes = {k: max(1, sum(self._kind(g) == k for g in seen)) for k in totals}
@@ -191,18 +193,47 @@ class Labeller(dict):
         return out
 
 
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, word, n) of (lang, text), summed up by task."""
+    by: dict[str, Counter] = {}
+    for batch in batches:
+        for lang, text in zip(batch["lang"], batch["text"], strict=True):
+            by.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+    for lang, words in by.items():
+        yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+
+
 def fitted(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
-    """The model of a bounded sample outside the held-out fold, picked by a hash of the id."""
-    named = docs.select(F.col(id_col).alias("l_id"), F.col(lang_col).alias("l_lang")).filter(F.col("l_lang").isNotNull() & F.col("l_id").isNotNull() & (fold("l_id", FOLDS) != HELD_OUT))
-    nth = W.partitionBy("l_lang").orderBy(F.xxhash64("l_id"), "l_id")
-    picked = named.withColumn("nth", F.row_number().over(nth)).filter(F.col("nth") <= SAMPLE).select("l_id").distinct()
-    rows = docs.join(F.broadcast(picked), F.col(id_col) == F.col("l_id"), "left_semi").filter(F.col(lang_col).isNotNull())  # SAMPLE rows for each language
-    rows = rows.dropDuplicates([id_col]).select(F.col(id_col).alias("l_id"), F.col(lang_col).alias("lang"), F.substring(text_of(text_col), 1, SAMPLE_CHARS).alias("text"))
-    return Model([(r.lang, r.text) for r in sorted(rows.collect(), key=lambda r: r.l_id)])
+    """The model of ``SAMPLE`` documents of each language outside the held-out fold, picked by a hash of the id.
+
+    Their whole texts count; null and empty texts count nothing. Of rows that repeat an id the one
+    whose language, then text, comes first counts. Rows without language or id are left out, and
+    without any row left the model knows no language.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), text_of(text_col).alias("text")).filter(F.col("lang").isNotNull() & F.col("id").isNotNull() & (fold("id", FOLDS) != HELD_OUT))
+    names = rows.groupBy("id").agg(F.min("lang").alias("l"))
+    # a language is first cut into cells, so that no task sorts all of a hot one
+    cell = F.pmod(F.xxhash64("id", F.lit("cell")), F.lit(64))
+    nth = lambda *by: F.row_number().over(W.partitionBy(*by).orderBy(F.xxhash64("id"), "id"))
+    few = names.withColumn("cell", cell).withColumn("nth", nth("l", "cell")).filter(F.col("nth") <= SAMPLE)
+    picked = few.withColumn("nth", nth("l")).filter(F.col("nth") <= SAMPLE).select(F.col("id").alias("p_id"), "l")
+    sampled = rows.join(F.broadcast(picked), (F.col("id") == F.col("p_id")) & (F.col("lang") == F.col("l")))  # SAMPLE ids for each language
+    one = sampled.groupBy("id").agg(F.min(F.struct("lang", "text")).alias("r")).select("r.lang", "r.text")
+    counts = one.mapInPandas(_word_counts, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    samples: dict[str, dict[str, int]] = {}
+    for r in sorted(counts.collect()):
+        samples.setdefault(r.lang, {})[r.word] = r.n
+    for r in picked.select("l").distinct().collect():  # a language whose sampled texts have no word is known all the same
+        samples.setdefault(r.l, {})
+    return Model(samples)
 
 
 def language(model: Model, text: Column) -> Column:
-    """struct<lang, score, spans> of each text; ``und`` with score 0 if it is null or has no letter."""
+    """struct<lang, score, spans> of each text; ``und`` with score 0 if it is null or has no letter.
+
+    Every row is labelled on its own: rows that repeat are labelled alike, an empty table stays
+    empty. Words of a very long text are labelled together, in one pass over all of them.
+    """
     kept: list[Labeller] = []
 
     def predict(texts: pd.Series) -> pd.DataFrame:
