@@ -2,12 +2,15 @@
 
 A text is UTF-8 bytes. Filters of ``WIDTH`` bytes slide over all of it; their responses are
 max-pooled in overlapping chunks (two cells of ``CELL`` bytes, one cell apart, to the end of the
-document). One more channel marks bytes that continue a period (the same 12 bytes stood at most
-``LAGS`` bytes before), which no filter of a few bytes can see; it is pooled alike. The mean and the maximum of the chunks' pooled responses make one probability. One-hot
-bytes make a filter a table of weights by byte, so a convolution is a sum of look-ups.
-
-Training is on the driver, on a bounded sample of labelled rows (``SAMPLE`` documents, of each
-at most ``CHUNKS`` chunks, spread evenly); scoring is on all bytes of all documents.
+document). One more channel is fixed, not learned: it marks bytes that continue a period (the same
+12 bytes stood at most ``LAGS`` bytes before), which no filter of a few bytes can see; it is pooled
+alike, and what it counts for is learned. The mean and the maximum of the chunks' pooled responses
+make one probability. One-hot bytes make a filter a table of weights by byte, so a convolution is a
+sum of look-ups.
+
+Training is on the driver, on a bounded sample of labelled rows: ``SAMPLE`` documents, of each at
+most ``CHUNKS`` chunks, spread evenly over all of it and cut out before they leave the executors.
+Scoring is on all bytes of all documents.
 """
 
 from __future__ import annotations
@@ -97,15 +100,15 @@ def _chunks(text: str | None, most: int = CHUNKS) -> np.ndarray:
     return out
 
 
-def train(texts: list[str | None], labels: list[int], seed: int = 7) -> Model:
-    """A network fitted by Adam; without rows of both labels a constant: their share, or one half."""
+def train(docs: list[np.ndarray], labels: list[int], seed: int = 7) -> Model:
+    """A network fitted by Adam on documents' chunks; without rows of both labels a constant: their share, or one half."""
     rng = np.random.default_rng(seed)
     filters = rng.normal(0, 0.1, (WIDTH, 256, FILTERS)).astype(np.float32)
     model = Model(filters, np.zeros(FILTERS, np.float32), rng.normal(0, 0.1, 2 * FILTERS + 2).astype(np.float32), 0.0)
     if len(set(labels)) < 2:
         share = (sum(labels) + 0.5) / (len(labels) + 1)
         return Model(filters * 0, model.bias, model.out * 0, float(np.log(share / (1 - share))))
-    docs, y = [_chunks(t) for t in texts], np.asarray(labels, dtype=np.float32)
+    y = np.asarray(labels, dtype=np.float32)
     model.out_bias = float(np.log(y.mean() / (1 - y.mean())))
     state = {k: [0.0, 0.0] for k in ("filters", "bias", "out", "out_bias")}
     step, each = 0, -(-len(docs) // STEP)
@@ -149,17 +152,34 @@ def _gradients(model: Model, docs: list[np.ndarray], y: np.ndarray) -> dict[str,
     return {"filters": grad, "bias": back.sum(0), "out": np.concatenate([mean, top], axis=1).T @ delta, "out_bias": delta.sum()}
 
 
+@F.pandas_udf(T.BinaryType())
+def _chunk_bytes(texts: pd.Series) -> pd.Series:
+    return pd.Series([_chunks(t).tobytes() for t in texts], dtype=object)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> list:
-    """At most ``SAMPLE`` labelled rows outside the held-out fold, picked by a hash of the id, in a fixed order."""
-    named = labels.select(F.col("doc_id").alias("l_id"), F.col("quality").cast("int").alias("l_quality")).filter(F.col("l_quality").isin(0, 1) & F.col("l_id").isNotNull() & (fold("l_id", FOLDS) != 0))
-    picked = named.dropDuplicates(["l_id"]).orderBy(F.xxhash64("l_id"), "l_id").limit(SAMPLE)
-    rows = docs.join(F.broadcast(picked), F.col(id_col) == F.col("l_id")).select(text_of(text_col).alias("text"), "l_quality", "l_id", F.xxhash64("l_id").alias("h"))
-    return sorted(rows.dropDuplicates(["l_id"]).collect(), key=lambda r: (r.h, r.l_id))
+    """At most ``SAMPLE`` labelled rows (chunks, quality) outside the held-out fold, picked by a hash of the id, in a fixed order.
+
+    An id whose labels differ has none, and of rows that repeat an id the one whose chunks come
+    first counts. Labels without id or with another quality than 0 or 1 are left out.
+    """
+    named = labels.select(F.col("doc_id").alias("l_id"), F.col("quality").cast("int").alias("q")).filter(F.col("q").isin(0, 1) & F.col("l_id").isNotNull() & (fold("l_id", FOLDS) != 0))
+    sure = named.groupBy("l_id").agg(F.min("q").alias("l_quality"), F.max("q").alias("most")).filter("l_quality = most")
+    picked = sure.select("l_id", "l_quality").orderBy(F.xxhash64("l_id"), "l_id").limit(SAMPLE)
+    texts = docs.select(F.col(id_col).alias("t_id"), text_of(text_col).alias("t"))
+    rows = texts.join(F.broadcast(picked), F.col("t_id") == F.col("l_id")).select("l_id", "l_quality", _chunk_bytes("t").alias("chunks"))
+    one = rows.groupBy("l_id").agg(F.min(F.struct("chunks", "l_quality")).alias("r")).select(F.xxhash64("l_id").alias("h"), "l_id", "r.*")
+    return sorted(one.collect(), key=lambda r: (r.h, r.l_id))
 
 
 def fitted(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Model:
+    """The network of the labelled rows of ``docs``.
+
+    Null and empty texts are one chunk of zeros; repeated rows and labels count once. Empty tables,
+    or labels of one kind only, give a constant.
+    """
     rows = training_rows(docs, labels, text_col, id_col)
-    return train([r.text for r in rows], [r.l_quality for r in rows])
+    return train([np.frombuffer(r.chunks, dtype=np.uint8).reshape(-1, 2 * CELL) for r in rows], [r.l_quality for r in rows])
 
 
 def quality_score(model: Model, text: Column) -> Column:
@@ -175,7 +195,12 @@ def quality_score(model: Model, text: Column) -> Column:
 
 
 def keep_good(df: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``df`` without the rows that the classifier, fitted on ``labels``, rejects."""
+    """``df`` without the rows that the classifier, fitted on ``labels``, rejects.
+
+    Every row is judged by its whole text alone: rows that repeat stay or go together, null and
+    empty texts are scored like any other, and an empty table stays empty. Columns of ``df`` may
+    have any names; all of them stay.
+    """
     n = no_clash(df, "score")
     model = fitted(df, labels, text_col, id_col)
     return df.withColumn(n["score"], quality_score(model, F.col(text_col))).filter(F.col(n["score"]) >= THRESHOLD).select(*df.columns)

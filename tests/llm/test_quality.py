@@ -63,3 +63,29 @@ def test_odd_rows_and_no_labels(spark, documents):
     odd = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (None, 0, 0), (2, None, 1), (3, 7, 0)], "doc_id long, quality int, toxic int")
     assert q.keep_good(rows, odd).count() == len(ODD)
     assert q.keep_good(rows.limit(0), odd).count() == 0
+
+
+def test_conflicting_labels_and_repeated_ids(spark, documents):
+    """An id with two labels has none; of a repeated id's texts the one whose chunks come first counts, wherever the rows lie."""
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (4, 1)], "doc_id long, quality int")
+    rows = documents(["b", "a", "z", "c", "d"], [2, 2, 1, 3, 4])
+    for parts in (1, 5):
+        got = q.training_rows(rows.repartition(parts), labels)
+        assert {r.l_id: (r.chunks[:1], r.l_quality) for r in got} == {2: (b"a", 1), 3: (b"c", 0), 4: (b"d", 1)}
+
+
+def test_scores_against_a_plain_version():
+    """The scorer against the definition, one position, chunk and filter at a time."""
+    rng = np.random.default_rng(3)
+    model = q.Model(rng.normal(0, 0.3, (q.WIDTH, 256, q.FILTERS)).astype(np.float32), rng.normal(0, 0.1, q.FILTERS).astype(np.float32), rng.normal(0, 0.3, 2 * q.FILTERS + 2), 0.1)
+    for text in ("", "ab", "plain words, of some length " * 7, "é漢字 " * 90 + "The " * 60, "x" * (q.CELL + 3) + "y" * (2 * q.CELL), "q" * (3 * q.CELL + q.WIDTH - 1)):
+        raw = text.encode().ljust(q.WIDTH, b"\0")
+        n = len(raw) - q.WIDTH + 1
+        rows = []
+        for at in range(n):
+            same = at + 12 <= len(raw) and any(raw[at : at + 12] == raw[at - lag : at - lag + 12] for lag in range(1, q.LAGS + 1) if at >= lag)
+            rows.append([*(sum(model.filters[k][raw[at + k]] for k in range(q.WIDTH)) + model.bias), float(same and raw[at] != 0)])
+        cells = [np.maximum(np.max(rows[c : c + q.CELL], axis=0), 0) for c in range(0, n, q.CELL)]
+        chunks = [np.maximum(a, b) for a, b in zip(cells, cells[1:])] or cells
+        z = np.concatenate([np.mean(chunks, axis=0), np.max(chunks, axis=0)]) @ model.out + model.out_bias
+        assert abs(model.scorer()(text) - 1 / (1 + np.exp(-z))) < 1e-5
