@@ -8,8 +8,8 @@ address, and the words and marks beside it.
 The forest is trained on labelled findings: a fixed set in which secrets of common formats, in
 assignments and headers, are label 1, and checksums, versions, identifiers, paths, words and
 numbers in their usual places are label 0 (``labelled_findings``). Callers with findings of their
-own pass these instead. Dictionary and transitions come from the corpus, of at most ``SAMPLE``
-documents; every character of every text is scanned.
+own pass these instead. Dictionary and transitions are counted over all documents and their whole
+texts: the dictionary has the words that most documents hold, as many as fit into ``DICTIONARY``.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import math
 import random
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
@@ -26,17 +27,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessaria.llm.common import shared_dir, table, text_of
+from tessaria.llm.common import shared_dir, stored, table, text_of
 from tessaria.llm.forest import Forest
 
 LEAST, NEAR = 16, 32
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_\-]{{{LEAST},}}={{0,2}}")
-WORD = re.compile(r"[^\W\d_]+")
+WORD = r"\p{L}+"
 THRESHOLD = 0.5
-#: Bounds of the corpus sample: documents, and characters of each.
-SAMPLE, SAMPLE_CHARS = 1000, 20_000
-#: A word is in the dictionary if this many sampled documents hold it.
-DOCUMENTS = 3
+#: The words of the dictionary are held by at least so many documents, and are so many at most: those that most documents hold.
+DOCUMENTS, DICTIONARY = 3, 200_000
+#: Letters of a word in the dictionary. Candidates are ASCII, so other words cover nothing.
+SHORTEST, LONGEST = 4, 24
 
 #: Words beside a candidate that speak for a secret, and against one.
 FOR = ("secret", "token", "password", "passwd", "pwd", "key", "apikey", "auth", "authorization", "bearer", "credential", "credentials", "private", "access", "client", "login")
@@ -44,19 +45,15 @@ AGAINST = ("sha", "md5", "checksum", "hash", "commit", "revision", "digest", "uu
 
 
 class Words:
-    """A dictionary and the log probabilities of character pairs, of sampled texts."""
-
-    def __init__(self, texts: list[str | None]):
-        docs, pairs, firsts = Counter(), Counter(), Counter()
-        for text in texts:
-            words = set(WORD.findall((text or "").lower()))
-            docs.update(w for w in words if len(w) >= 4)
-            for w in words:
-                pairs.update(zip(w, w[1:], strict=False))
-                firsts.update(w[:-1])
-        self.words = {w for w, n in docs.items() if n >= DOCUMENTS} | set(FOR) | set(AGAINST)
-        self.longest = min(24, max(map(len, self.words)))
-        self.pairs = {p: math.log((n + 0.5) / (firsts[p[0]] + 15)) for p, n in pairs.items()}
+    """A dictionary and the log probabilities of pairs of the letters a to z.
+
+    ``pairs`` counts two letters that follow one another in a word, ``firsts`` a letter that any follows.
+    """
+
+    def __init__(self, words: Iterable[str], pairs: dict[str, int], firsts: dict[str, int]):
+        self.words = {*words, *FOR, *AGAINST}
+        self.longest = max(map(len, self.words))
+        self.pairs = {(p[0], p[1]): math.log((n + 0.5) / (firsts[p[0]] + 15)) for p, n in pairs.items()}
         self.unseen = math.log(1e-4)
 
     def flow(self, s: str) -> float:
@@ -152,11 +149,32 @@ def labelled_findings(words: Words, n: int = 1500, seed: int = 5) -> list[tuple[
     return out
 
 
-def sampled_words(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> Words:
-    """Dictionary and transitions of a bounded sample, picked by a hash of the id."""
-    rows = docs.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i")).filter("i is not null").distinct().orderBy("h", "i").limit(SAMPLE)
-    picked = docs.join(F.broadcast(rows), F.col(id_col) == F.col("i")).select("h", "i", F.substring(text_of(text_col), 1, SAMPLE_CHARS).alias("text"))
-    return Words([r.text for r in sorted(picked.collect(), key=lambda r: (r.h, r.i))])
+def corpus_words(docs: DataFrame, text_col: str = "text") -> Words:
+    """Dictionary and transitions of all documents, whole texts; null and empty texts have no words.
+
+    Every word counts once a document. At most ``DICTIONARY`` words and 26 * 27 counts come to the driver.
+    """
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(WORD), F.lit(0)))
+    counts = stored(docs.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("docs")), "words")
+    known = counts.filter((F.col("docs") >= DOCUMENTS) & F.regexp_like("word", F.lit(f"^[a-z]{{{SHORTEST},{LONGEST}}}$")))
+    # the words above the greatest count at which they fit: ties go in or stay out together
+    levels = known.groupBy("docs").agg(F.count("*").alias("n"))
+    letter = "abcdefghijklmnopqrstuvwxyz"
+    each = counts.select("docs", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("word") - 1, F.lit(1))), lambda i: F.substring(F.col("word"), i, F.lit(2)))).alias("pair"))
+    pairs = each.filter((F.length("pair") == 2) & F.substring("pair", 1, 1).isin(*letter)).groupBy(F.substring("pair", 1, 1).alias("a"), F.when(F.substring("pair", 2, 1).isin(*letter), F.substring("pair", 2, 1)).alias("b")).agg(F.sum("docs").alias("n"))
+    found, firsts = {}, Counter()
+    for r in pairs.collect():
+        firsts[r.a] += r.n
+        if r.b is not None:
+            found[r.a + r.b] = r.n
+    room, least = DICTIONARY, None
+    for r in levels.orderBy(F.desc("docs")).limit(DICTIONARY + 1).collect():  # each level has a word at least
+        room -= r.n
+        if room < 0:
+            break
+        least = r.docs
+    dictionary = [] if least is None else [r.word for r in known.filter(F.col("docs") >= least).select("word").collect()]
+    return Words(dictionary, found, firsts)
 
 
 def trained(words: Words, findings: list[tuple[str, int, int, int]]) -> Forest:
@@ -186,10 +204,12 @@ def scan(df: DataFrame, words: Words | None = None, findings: list[tuple[str, in
     """One row per candidate: id, start, end (code points, end exclusive), digest, score, is_secret.
 
     Null and empty texts, and texts without a candidate, give no row. Repeated rows are scanned
-    alike. The digest is the candidate's SHA-256, so that a report holds no secret.
+    alike, and each counts for the dictionary. A very long candidate is one candidate. An empty
+    table gives an empty result; other columns of ``df`` are not read and may have any names. The
+    digest is the candidate's SHA-256, so that a report holds no secret.
     """
     shared_dir(df.sparkSession)
-    words = words or sampled_words(df, text_col, id_col)
+    words = words or corpus_words(df, text_col)
     forest = trained(words, findings or labelled_findings(words))
     found = df.select(F.col(id_col).alias("doc_id"), F.explode(_findings(words, forest, F.col(text_col))).alias("f"))
     return found.select("doc_id", "f.start", "f.end", "f.digest", "f.score", (F.col("f.score") >= THRESHOLD).alias("is_secret"))
