@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -37,9 +38,14 @@ def fold(id_col: str, folds: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the one the cluster names, or, where none is set, a new one."""
+    """The folder that driver and executors share: the one the cluster names.
+
+    Where none is set, a local session gets a folder of the machine; on a cluster that is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tessaria-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
