@@ -13,12 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessaria.llm.common import ascii_lower, no_clash, stored, table, text_of
+from tessaria.llm.common import ascii_lower, stored, table, text_of
 
 #: A digest is heavy when it has more than this share of the rows: fewer than 1,000 can be.
 HEAVY_SHARE = 1 / 1000
 #: Counters of the summary. Its error is below rows * 3.5 / TRACKED, so that all heavy digests are among the first CANDIDATES.
 TRACKED, CANDIDATES = 10_000, 2_000
+#: Summaries that one task merges.
+FAN_IN = 64
 
 
 def digest(text_col: str):
@@ -27,16 +29,23 @@ def digest(text_col: str):
 
 
 def heavy_digests(keys: DataFrame, digest_col: str, id_col: str, heavy_share: float = HEAVY_SHARE) -> DataFrame:
-    """(digest, keep_id, group_size) of every digest with more than ``heavy_share`` of the rows of ``keys``.
+    """(h_digest, h_keep, h_size) of every digest with more than ``heavy_share`` of the rows of ``keys``.
 
-    The candidates come from the Misra-Gries summary; counts are exact, over all rows.
+    The candidates come from the Misra-Gries summary, over 64-bit hashes of the digests; counts are
+    exact, over all rows. Tasks' summaries are merged ``FAN_IN`` at a time, never all in one task.
     """
-    sketch = keys.agg(F.expr(f"approx_top_k(`{digest_col}`, {CANDIDATES}, {TRACKED})").alias("top"), F.count("*").alias("n"))
-    named = sketch.select("n", F.explode("top").alias("t")).select(F.col("t.item").alias("h_digest"), F.col("n").alias("h_rows"))
+    part, n = F.spark_partition_id(), FAN_IN
+    own = keys.select(F.xxhash64(digest_col).alias("x"), (part % (n * n)).alias("p2"))
+    level = own.groupBy("p2").agg(F.expr(f"approx_top_k_accumulate(x, {TRACKED})").alias("s"), F.count("*").alias("n"))
+    level = level.groupBy((F.col("p2") % n).alias("p1")).agg(F.expr("approx_top_k_combine(s)").alias("s"), F.sum("n").alias("n"))
+    # a group of its own, not a global aggregate: without rows there is nothing to estimate from
+    sketch = level.groupBy((F.col("p1") % 1).alias("p0")).agg(F.expr("approx_top_k_combine(s)").alias("s"), F.sum("n").alias("n"))
+    named = sketch.select("n", F.explode(F.expr(f"approx_top_k_estimate(s, {CANDIDATES})")).alias("t")).select(F.col("t.item").alias("x"), F.col("n").alias("h_rows"))
     return (
-        keys.join(F.broadcast(named), F.col(digest_col) == F.col("h_digest"))  # at most CANDIDATES rows
+        keys.select(F.col(digest_col).alias("h_digest"), F.col(id_col).alias("h_id"), F.xxhash64(digest_col).alias("h_x"))
+        .join(F.broadcast(named), F.col("h_x") == F.col("x"))  # at most CANDIDATES rows
         .groupBy("h_digest")
-        .agg(F.max(id_col).alias("h_keep"), F.count("*").alias("h_size"), F.max("h_rows").alias("h_rows"))
+        .agg(F.max("h_id").alias("h_keep"), F.count("*").alias("h_size"), F.max("h_rows").alias("h_rows"))
         .filter(F.col("h_size") > F.greatest(F.lit(1.0), F.col("h_rows") * heavy_share))
         .select("h_digest", "h_keep", "h_size")
     )
@@ -59,17 +68,21 @@ def mark_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
 
 def drop_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", heavy_share: float = HEAVY_SHARE) -> DataFrame:
-    """``df`` with one row of each group of equal texts: the largest id, and of repeated rows one."""
-    n = no_clash(df, "digest", "order")
-    wide = df.withColumn(n["digest"], digest(text_col))
+    """``df`` with one row of each group of equal texts: the largest id, and of repeated rows one.
+
+    Texts are equal as in ``mark_duplicates``: null and empty ones are one group, null ids stay only
+    where a group has no other. Of rows that repeat both id and text any one stays. Texts of any
+    length are compared by digest. Columns of ``df`` may have any names; an empty table stays empty.
+    """
     keys = stored(df.select(F.col(id_col).alias("k_id"), digest(text_col).alias("k_digest")), "digests")
     heavy = F.broadcast(heavy_digests(keys, "k_digest", "k_id", heavy_share))
-    tried = wide.join(heavy, F.col(n["digest"]) == F.col("h_digest"), "left")
+    wide = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), digest(text_col).alias("digest"))
+    tried = wide.join(heavy, F.col("digest") == F.col("h_digest"), "left")
     # of a heavy group only the rows of the id that stays leave the map side; repeats of it meet in a combining aggregate
-    winners = tried.filter(F.col("h_digest").isNotNull() & F.col(id_col).eqNullSafe(F.col("h_keep"))).dropDuplicates([n["digest"]])
-    first = W.partitionBy(n["digest"]).orderBy(F.col(id_col).desc_nulls_last())
-    rest = tried.filter(F.col("h_digest").isNull()).withColumn(n["order"], F.row_number().over(first)).filter(F.col(n["order"]) == 1)
-    return winners.select(*df.columns).unionByName(rest.select(*df.columns))
+    winners = tried.filter(F.col("h_digest").isNotNull() & F.col("id").eqNullSafe(F.col("h_keep"))).dropDuplicates(["digest"])
+    first = W.partitionBy("digest").orderBy(F.col("id").desc_nulls_last())
+    rest = tried.filter(F.col("h_digest").isNull()).withColumn("nth", F.row_number().over(first)).filter("nth = 1")
+    return winners.select("row").unionByName(rest.select("row")).select(*[F.col("row")[c].alias(c) for c in df.columns])
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

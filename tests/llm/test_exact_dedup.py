@@ -51,6 +51,15 @@ def test_repeated_rows_leave_one(documents):
     assert [r.kept for r in x.mark_duplicates(rows).collect()] == [True] * 4
 
 
+def test_heavy_digests_through_every_level(spark, monkeypatch):
+    """Summaries of many tasks, merged two at a time, still name every heavy digest."""
+    monkeypatch.setattr(x, "FAN_IN", 2)
+    keys = spark.createDataFrame([(i, f"hot{i % 3}" if i % 2 else f"d{i}") for i in range(4000)], "id long, d string").repartition(13)
+    got = {r.h_digest: (r.h_keep, r.h_size) for r in x.heavy_digests(keys, "d", "id", 0.05).collect()}
+    want = {f"hot{k}": [i for i in range(4000) if i % 2 and i % 3 == k] for k in range(3)}
+    assert got == {k: (max(v), len(v)) for k, v in want.items()}
+
+
 def test_empty(documents):
     empty = documents(["a"]).limit(0)
     assert x.mark_duplicates(empty).count() == 0 and x.drop_duplicates(empty).count() == 0
