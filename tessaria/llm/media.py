@@ -3,7 +3,8 @@
 A payload becomes a grey 8-bit PNG, whose samples are its bytes. Every task writes the media of
 its rows into tar shards in the shared folder, each content once a shard, named by its digest;
 rows carry digest, shard, offset and length. Of equal payloads in several shards all rows point
-to the first. Metadata columns come from range reads of a medium's header alone; features come
+to the first: only rows whose own shard does not hold that one are joined, by digest and shard, so
+the copies of one content are never gathered in a task. Metadata columns come from range reads of a medium's header alone; features come
 from the stored bytes, decoded and checked against the digest.
 
 A shard is written under a temporary name and renamed when complete; a task that is run again
@@ -32,6 +33,8 @@ BLOCK = 64
 SHARD_BYTES = 256 << 20
 #: Bytes of a PNG up to the end of its header chunk.
 HEADER = 33
+#: Contents that lie in further shards: so many may be broadcast; with more that is a join.
+BROADCAST_ROWS = 200_000
 SIGNATURE = b"\x89PNG\r\n\x1a\n"
 LEVEL = 3
 
@@ -126,8 +129,11 @@ class Shards:
 def store(df: DataFrame, text_col: str = "text", root: str | None = None) -> DataFrame:
     """``df`` without its text, with n_bytes, digest (of the payload), shard, offset and length.
 
-    Null texts are empty; an empty text has a payload of ``BLOCK`` zero bytes. Columns of ``df``
-    with one of these names are replaced. ``root`` is a folder that all executors share.
+    Null texts are empty; an empty text has a payload of ``BLOCK`` zero bytes. Rows that repeat, and
+    all rows with equal texts, name the same place. A very long text is one payload, held in memory
+    by the task that writes it. An empty table gives an empty result and no shard. Columns of ``df``
+    with one of these names are replaced, others may have any names. ``root`` is a folder that all
+    executors share.
     """
     spark = df.sparkSession
     root = root or f"{shared_dir(spark)}/media-{uuid.uuid4().hex}"
@@ -152,8 +158,15 @@ def store(df: DataFrame, text_col: str = "text", root: str | None = None) -> Dat
 
     schema = rows.drop(raw).schema.add("n_bytes", "long").add("digest", "string").add("shard", "string").add("offset", "long").add("length", "long")
     placed = stored(rows.mapInPandas(run, schema), "media-rows").withColumn("shard", F.concat(F.lit(f"{root}/"), F.col("shard")))
-    first = placed.groupBy("digest").agg(F.min(F.struct("shard", "offset", "length")).alias("f"))
-    return placed.drop("shard", "offset", "length").join(first.withColumnRenamed("digest", "f_digest"), F.col("digest") == F.col("f_digest")).select(*[c for c in placed.columns if c not in own[2:]], "f.*")
+    # one row for each content of a shard, however many rows have it
+    spots = placed.select(F.col("digest").alias("d"), F.struct("shard", "offset", "length").alias("at")).distinct()
+    first = spots.groupBy("d").agg(F.min("at").alias("f"), F.count("*").alias("spots")).filter("spots > 1").select(F.col("d").alias("f_d"), "f")
+    moved = stored(spots.join(first, F.col("d") == F.col("f_d")).filter("at != f").select("d", F.col("at.shard").alias("s"), "f"), "moved")
+    if moved.count() <= BROADCAST_ROWS:
+        moved = F.broadcast(moved)
+    whole = placed.select(F.struct(*[c for c in placed.columns if c not in own[2:]]).alias("r"), F.struct(*own[2:]).alias("p"))
+    to = whole.join(moved, (F.col("r.digest") == F.col("d")) & (F.col("p.shard") == F.col("s")), "left")
+    return to.select("r.*", F.coalesce("f", "p").alias("p")).select(*[c for c in placed.columns if c not in own[2:]], "p.*")
 
 
 class Reader:
@@ -215,9 +228,7 @@ def with_content(rows: DataFrame) -> DataFrame:
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text as a stored medium, read back."""
     rows = store(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    # neighbours in a shard are read by one task
-    near = rows.repartition("shard", F.expr(f"offset div {SHARD_BYTES >> 6}"))
-    read = with_content(with_metadata(near))
+    read = with_content(with_metadata(rows))
     c = "media_content"
     feature = F.concat_ws(";", "media_header.format", F.concat_ws("x", "media_header.width", "media_header.height", "media_header.bits"), f"{c}.features")
     return read.select("doc_id", "n_bytes", f"{c}.payload_bytes", f"{c}.payload_sha256", f"{c}.tail_crc32", f"{c}.media_bytes", f"{c}.media_sha256", feature.alias("feature"), "shard", "offset", "length")
