@@ -62,17 +62,6 @@ def test_deviation_from_the_given_weights(documents):
     assert {r.source for r in last} == {"s2"}
 
 
-def test_names_that_clash(documents):
-    rows = documents(["a", "b"])
-    names = ["row", "id", "key", "order", "part", "chars", "m_key", "d_key", "m_block", "m_slot", "within", "m_part", "m_no", "m_in", "q", "n", "due"]
-    for name in names:
-        odd = rows.withColumn(name, rows.score)
-        assert mixing.mixed_order(odd).columns == odd.columns and mixing.mixed_order(odd).count() == 2
-        out = mixing.mix(odd)
-        assert sorted(out.columns) == sorted({*odd.columns, *mixing.RESULT})
-        assert {r[name] for r in out.collect()} == {"kept"} or name in mixing.RESULT
-
-
 def test_all_rows_stay_and_prefixes_hold_the_weights(documents):
     texts = ["x" * 100] * 900
     rows = documents(texts, sources=["big" if i % 3 else "small" for i in range(900)])
