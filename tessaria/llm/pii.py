@@ -1,10 +1,13 @@
 """Personal data: base identifiers, and terms that disclose them, in DataFrame functions only.
 
-Base identifiers (emails, addresses, cards, phones) are protected entities. A term near an
-entity discloses it if it carries most of the entity's information: with document counts over
-the whole corpus, PMI(t, e) = log(N * C(t, e) / (C(t) * C(e))) is at most IC(e) = log(N / C(e)),
-and reaches it when t occurs only with e. Terms with a support of two documents are removed from
-a share of ``REMOVE`` on and generalised from ``GENERALISE`` on.
+Base identifiers (emails, addresses, cards, phones) are protected entities. A term that stands
+near an entity discloses it if it carries most of the entity's information: with document counts
+over the whole corpus, PMI(t, e) = log(N * C(t, e) / (C(t) * C(e))) is at most IC(e) = log(N / C(e)),
+and reaches it when t occurs only with e. C(t, e) counts the documents in which t stands within
+``REACH`` characters of e (whole documents would make every rare word of a copied document
+disclose the addresses in it); a term needs a support of two of these. It is removed from a share
+of ``REMOVE`` on and generalised from ``GENERALISE`` on, at every place in every document that
+holds the entity.
 
 Positions come from a text's pieces between matches. Texts are read twice: for identifiers with
 the words around them, and for the document counts of the terms that have the support.
@@ -15,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaria.llm.common import LOWER, UPPER, ascii_lower, no_clash, stored, table, text_of
+from tessaria.llm.common import LOWER, UPPER, ascii_lower, stored, table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Java patterns: possessive, so they neither backtrack nor recurse, and anchored so that no start is tried inside a run; they find the same as SQL_PATTERNS.
@@ -34,8 +37,8 @@ SQL_PATTERNS = {
 #: A text without a match of the gate holds no such identifier.
 GATES = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
 OCTET = r"^0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])){3}$"
-#: Characters of context on either side, and what a word in it is: letters only, at least four; trailing full stops do not count.
-REACH, TOKEN, TERM = 48, r"[\p{L}\p{N}_.@%+\-]+", r"^\p{L}{4,}\.*$"
+#: Characters of context on either side, words, and what a term has: a letter, two characters besides trailing full stops, and no "@".
+REACH, TOKEN, LETTER, SHORTEST = 48, r"[\p{L}\p{N}_.@%+\-]+", r"\p{L}", 2
 SUPPORT, REMOVE, GENERALISE = 2, 0.9, 0.7
 #: Terms whose document counts are looked up through a broadcast; with more, all terms are counted and joined.
 BROADCAST_TERMS = 200_000
@@ -104,28 +107,38 @@ def _kind_spans(text: Column, kind: str) -> Column:
     return F.when(has, spans).otherwise(F.array().cast("array<struct<s:int,rank:int,kind:string,e:int,entity:string>>"))
 
 
+def _is_term(v: Column) -> Column:
+    return F.regexp_like(v, F.lit(LETTER)) & ~F.contains(v, F.lit("@")) & (F.length(F.rtrim(v, F.lit("."))) >= SHORTEST)
+
+
+def _term(v: Column) -> Column:
+    return F.rtrim(ascii_lower(v), F.lit("."))
+
+
 def _context(text: Column, base: Column) -> Column:
-    """array<struct<entity,term,s,e>>: the words near each span; a word that the reach cuts does not count."""
+    """array<struct<entity,term>>: the terms near each span; a word that the reach cuts does not count."""
 
     def words(entity: Column, start: Column, n: Column, cut_left: Column, cut_right: Column) -> Column:
-        part = F.substring(text, start + 1, n)
-        tokens = F.filter(_matches(part, TOKEN), lambda w: F.regexp_like(w.v, F.lit(TERM)) & ~(cut_left & (w.s == 0)) & ~(cut_right & (w.e == n)))
-        return F.transform(
-            tokens,
-            lambda w: F.struct(
-                entity.alias("entity"),
-                F.rtrim(ascii_lower(w.v), F.lit(".")).alias("term"),
-                (start + w.s).alias("s"),
-                (start + w.s + F.length(F.rtrim(w.v, F.lit(".")))).alias("e"),
-            ),
-        )
+        tokens = F.filter(_matches(F.substring(text, start + 1, n), TOKEN), lambda w: _is_term(w.v) & ~(cut_left & (w.s == 0)) & ~(cut_right & (w.e == n)))
+        return F.transform(tokens, lambda w: F.struct(entity.alias("entity"), _term(w.v).alias("term")))
 
     def near(x: Column) -> Column:
         left = F.greatest(x.s - REACH, F.lit(0))
         n = F.least(F.length(text) - x.e, F.lit(REACH))
         return F.concat(words(x.entity, left, x.s - left, left > 0, F.lit(False)), words(x.entity, x.e, n, F.lit(False), x.e + n < F.length(text)))
 
-    return F.flatten(F.transform(base, near))
+    return F.array_distinct(F.flatten(F.transform(base, near)))
+
+
+def _words(text: Column) -> Column:
+    """The different words of a text, as terms are written."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(ascii_lower(text), F.lit(TOKEN), F.lit(0)), lambda w: F.rtrim(w, F.lit("."))))
+
+
+def _places(text: Column, marks: Column) -> Column:
+    """array<struct<s,rank,kind,e,treatment>>: all places of the terms in the map ``marks``, in order."""
+    found = F.filter(_matches(text, TOKEN), lambda w: _is_term(w.v) & F.map_contains_key(marks, _term(w.v)))
+    return F.transform(found, lambda w: F.struct(w.s.alias("s"), F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), (w.s + F.length(F.rtrim(w.v, F.lit(".")))).alias("e"), F.element_at(marks, _term(w.v)).alias("treatment")))
 
 
 def _joined(spans: Column) -> Column:
@@ -135,57 +148,66 @@ def _joined(spans: Column) -> Column:
 
 def _term_counts(df: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     """(term, t_docs): in how many documents each of ``terms`` is a word, over all documents."""
-    words = F.array_distinct(F.transform(F.regexp_extract_all(ascii_lower(text_of(text_col)), F.lit(TOKEN), F.lit(0)), lambda w: F.rtrim(w, F.lit("."))))
-    each = df.select(F.explode(words).alias("term"))
+    each = df.select(F.explode(_words(text_of(text_col))).alias("term"))
     if terms.count() <= BROADCAST_TERMS:
         return each.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("t_docs"))
     return each.groupBy("term").agg(F.count("*").alias("t_docs")).join(terms, "term", "left_semi")
 
 
-def find(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with n_email, n_ip, n_card, n_phone, base (spans), terms (spans with their treatment).
+NOTHING = "array<struct<s:int,rank:int,kind:string,e:int,treatment:string>>"
+OWN = ("n_email", "n_ip", "n_card", "n_phone", "base", "terms")
 
-    Spans are structs (s, rank, kind, e) in code points, ends exclusive. Null and empty texts have
-    none. Repeated rows are documents of their own. A column of ``df`` that has one of the
-    result's names is replaced; all others stay. An empty table gives an empty result.
-    """
-    n = no_clash(df, "row", "context")
-    kinds = {k: _kind_spans(text_of(text_col), k) for k in KINDS}
-    own = {"n_email", "n_ip", "n_card", "n_phone", "base", "terms"}
-    rows = df.select(*[c for c in df.columns if c not in own or c == text_col], F.monotonically_increasing_id().alias(n["row"]), *[c.alias(f"{n['context']}{k}") for k, c in kinds.items()])
-    spans = [F.col(f"{n['context']}{k}") for k in KINDS]
-    rows = rows.withColumns({"base": F.array_sort(F.concat(*spans)), **{f"n_{k}": F.size(c).cast("long") for k, c in zip(KINDS, spans, strict=True)}}).drop(*[f"{n['context']}{k}" for k in KINDS])
-    rows = stored(rows.withColumn(n["context"], F.when(F.size("base") > 0, _context(text_of(text_col), F.col("base")))), "identifiers")
-    context = rows.select(F.col(n["row"]).alias("row"), F.explode(n["context"]).alias("c")).select("row", "c.*")
-    pairs = context.select("row", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT)
-    pairs = stored(pairs, "pairs")
-    entities = rows.select(F.explode(F.array_distinct(F.transform("base", lambda x: x.entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("e_docs"))
+
+def _found(df: DataFrame, text_col: str) -> DataFrame:
+    """(row, text, *OWN): the whole rows of ``df`` as structs, so that no name of theirs meets another."""
+    rows = df.select(F.struct("*").alias("row"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("nr"))
+    rows = rows.select("*", *[_kind_spans(F.col("text"), k).alias(k) for k in KINDS])
+    rows = rows.select("row", "text", "nr", F.array_sort(F.concat(*KINDS)).alias("base"), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS])
+    rows = stored(rows.withColumn("context", F.when(F.size("base") > 0, _context(F.col("text"), F.col("base")))), "identifiers")
+    entities = F.array_distinct(F.transform("base", lambda x: x.entity))
+    context = rows.select(F.explode("context").alias("c")).select("c.*")  # each once a document
+    pairs = stored(context.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT), "pairs")
+    holders = rows.select("nr", F.explode(entities).alias("entity"))
+    counts = holders.groupBy("entity").agg(F.count("*").alias("e_docs"))
     total = rows.agg(F.count("*").alias("docs"))  # one row
     share = F.ln(F.col("docs") * F.col("both") / (F.col("t_docs") * F.col("e_docs"))) / F.ln(F.col("docs") / F.col("e_docs"))
-    telling = (
+    telling = stored(
         pairs.join(_term_counts(df, text_col, pairs.select("term").distinct()), "term")
-        .join(entities, "entity")
+        .join(counts, "entity")
         .join(F.broadcast(total))
         .filter(F.col("docs") > F.col("e_docs"))
         .withColumn("share", share)
         .filter(F.col("share") >= GENERALISE)
-        .select("entity", "term", F.when(F.col("share") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise")).alias("treatment"))
-    )
-    terms = (
-        context.join(telling, ["entity", "term"])
-        .groupBy("row", "s", "e")
-        .agg(F.max("treatment").alias("treatment"))
-        .groupBy("row")
-        .agg(F.array_sort(F.collect_list(F.struct("s", F.lit(len(KINDS)).alias("rank"), F.lit("term").alias("kind"), "e", "treatment"))).alias("terms"))
+        .select("entity", "term", F.when(F.col("share") >= REMOVE, F.lit("remove")).otherwise(F.lit("generalise")).alias("treatment")),
+        "telling",
     )
-    joined = rows.join(terms.withColumnRenamed("row", "t_row"), F.col(n["row"]) == F.col("t_row"), "left")
-    return joined.withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:int,rank:int,kind:string,e:int,treatment:string>>"))).drop(n["row"], n["context"], "t_row")
+    few = telling.count() <= BROADCAST_TERMS
+    # from a document's words to what they tell of, then only to what it holds: an entity that many documents hold is never joined by itself
+    words = rows.filter(F.size("base") > 0).select("nr", F.explode(_words(F.col("text"))).alias("term"))
+    told = words.join(F.broadcast(telling) if few else telling, "term").join(holders, ["nr", "entity"])
+    marks = told.groupBy("nr", "term").agg(F.max("treatment").alias("treatment")).groupBy(F.col("nr").alias("m_nr")).agg(F.map_from_entries(F.collect_list(F.struct("term", "treatment"))).alias("marks"))
+    placed = rows.join(marks, F.col("nr") == F.col("m_nr"), "left")
+    return placed.select("row", "text", *OWN[:-1], F.when(F.col("marks").isNull(), F.array().cast(NOTHING)).otherwise(_places(F.col("text"), F.col("marks"))).alias("terms"))
+
+
+def _with_row(df: DataFrame, found: DataFrame, *more: Column) -> DataFrame:
+    return found.select(*[F.col("row")[c].alias(c) for c in df.columns if c.lower() not in OWN], *OWN, *more)
+
+
+def find(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with n_email, n_ip, n_card, n_phone, base (spans), terms (spans with their treatment).
+
+    Spans are structs (s, rank, kind, e) in code points, ends exclusive. Null and empty texts have
+    none; very long ones are searched whole. Repeated rows are documents of their own. A column of
+    ``df`` that has one of the result's names is replaced; all others stay. An empty table gives an
+    empty result.
+    """
+    return _with_row(df, _found(df, text_col))
 
 
 def sanitise(df: DataFrame, text_col: str = "text", out_col: str = "sanitised") -> DataFrame:
     """``find`` with the text in which identifiers and removed terms are replaced by their kind, generalised terms by their first letter."""
-    found = find(df, text_col)
-    text = text_of(text_col)
+    found, text = _found(df, text_col), F.col("text")
     mark = "struct<s:int,e:int,put:string>"
     base = F.transform("base", lambda x: F.struct(x.s.alias("s"), x.e.alias("e"), F.concat(F.lit("["), x.kind, F.lit("]")).alias("put")))
     terms = F.transform("terms", lambda x: F.struct(x.s.alias("s"), x.e.alias("e"), F.when(x.treatment == "remove", F.lit("[term]")).otherwise(F.concat(F.substring(text, x.s + 1, F.lit(1)), F.lit("."))).alias("put")))
@@ -196,7 +218,8 @@ def sanitise(df: DataFrame, text_col: str = "text", out_col: str = "sanitised")
         return F.struct(F.greatest(acc.pos, x.e).alias("pos"), F.when(inside, acc.out).otherwise(F.concat(acc.out, F.substring(text, acc.pos + 1, x.s - acc.pos), x.put)).alias("out"))
 
     built = F.aggregate(marks, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step, lambda acc: F.concat(acc.out, F.substring(text, acc.pos + 1, F.length(text))))
-    return found.withColumn(out_col, built)
+    out = _with_row(df, found, built.alias("sanitised_text"))
+    return out.select(*[c for c in out.columns[:-1] if c != out_col], F.col("sanitised_text").alias(out_col))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,6 +243,7 @@ def _sql_kind(rank: int, kind: str, where: str) -> str:
 _D = "regexp_replace(v, '[^0-9]', '', 'g')"
 _LUHN = f"list_sum(list_transform(range(length({_D})), lambda i: CASE WHEN i % 2 = 0 THEN CAST(reverse({_D})[i + 1] AS INT) WHEN CAST(reverse({_D})[i + 1] AS INT) > 4 THEN 2 * CAST(reverse({_D})[i + 1] AS INT) - 9 ELSE 2 * CAST(reverse({_D})[i + 1] AS INT) END)) % 10 = 0"
 _WHERE = {"email": "true", "ip": f"regexp_matches(v, '{OCTET}')", "card": f"length({_D}) BETWEEN 14 AND 19 AND {_LUHN}", "phone": f"length({_D}) BETWEEN 10 AND 15"}
+_IS_TERM = f"regexp_matches(v, '{LETTER}') AND NOT contains(v, '@') AND length(rtrim(v, '.')) >= {SHORTEST}"
 _LOWERED = f"translate(%s, '{UPPER}', '{LOWER}')"
 
 SQL = f"""
@@ -240,10 +264,10 @@ ent AS MATERIALIZED (
 ), tok3 AS (
   SELECT rid, entity, p0, n, cl, cr, v, CAST(sum(gap + length(v)) OVER (PARTITION BY pid ORDER BY i) AS BIGINT) AS te FROM tok2
 ), ctx AS MATERIALIZED (
-  SELECT rid, entity, rtrim({_LOWERED % "v"}, '.') AS term, p0 + te - length(v) AS s, p0 + te - length(v) + length(rtrim(v, '.')) AS e
-  FROM tok3 WHERE regexp_matches(v, '{TERM}') AND NOT (cl AND te = length(v)) AND NOT (cr AND te = n)
+  SELECT DISTINCT rid, entity, rtrim({_LOWERED % "v"}, '.') AS term
+  FROM tok3 WHERE {_IS_TERM} AND NOT (cl AND te = length(v)) AND NOT (cr AND te = n)
 ), pr AS (
-  SELECT entity, term, count(DISTINCT rid) AS both_n FROM ctx GROUP BY ALL HAVING count(DISTINCT rid) >= {SUPPORT}
+  SELECT entity, term, count(*) AS both_n FROM ctx GROUP BY ALL HAVING count(*) >= {SUPPORT}
 ), td AS (
   SELECT term, count(*) AS t_docs FROM (
     SELECT DISTINCT rid, rtrim(unnest(regexp_extract_all({_LOWERED % "t"}, '{TOKEN}')), '.') AS term FROM d) WHERE term IN (SELECT term FROM pr) GROUP BY term
@@ -252,10 +276,17 @@ ent AS MATERIALIZED (
 ), tell AS (
   SELECT entity, term FROM pr JOIN td USING (term) JOIN ed USING (entity), (SELECT count(*) AS docs FROM d)
   WHERE docs > e_docs AND ln(docs * both_n / (t_docs * e_docs)) / ln(docs / e_docs) >= {GENERALISE}
+), whole AS (
+  SELECT rid, regexp_extract_all(t, '{TOKEN}') AS vs, regexp_split_to_array(t, '{TOKEN}') AS gs FROM d WHERE rid IN (SELECT rid FROM ent)
+), whole2 AS (
+  SELECT rid, unnest(vs) AS v, unnest(list_transform(gs[1:len(vs)], lambda x: length(x))) AS gap, unnest(range(len(vs))) AS i FROM whole
+), whole3 AS (
+  SELECT rid, v, rtrim({_LOWERED % "v"}, '.') AS term, CAST(sum(gap + length(v)) OVER (PARTITION BY rid ORDER BY i) AS BIGINT) - length(v) AS s FROM whole2
 ), sp AS (
   SELECT rid, rank, kind, s, e FROM b
   UNION ALL
-  SELECT DISTINCT rid, {len(KINDS)}, 'term', s, e FROM ctx JOIN tell USING (entity, term)
+  SELECT rid, {len(KINDS)}, 'term', s, s + length(rtrim(v, '.')) FROM whole3
+  WHERE {_IS_TERM} AND (rid, term) IN (SELECT rid, term FROM ent JOIN tell USING (entity))
 ), agg AS (
   SELECT rid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) AS spans,
          string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank, e) FILTER (rank < {len(KINDS)}) AS base

@@ -67,6 +67,20 @@ def test_terms_that_disclose(documents):
     assert got[0].sanitised.endswith("about things number 0")
 
 
+def test_every_place_in_documents_with_the_entity(documents):
+    """A term that discloses goes wherever it stands in a document with its entity, near or not, short or with digits."""
+    near = "Zaphod and Li of X-42B (me@corp.example)"
+    texts = [f"{near} wrote this. " + "many plain words follow here " * 20 + f"Zaphod signed it, says Li, {i}; x-42b." for i in range(3)]
+    texts += ["many plain words follow here"] * 60 + ["me@corp.example: " + "words " * 30 + "Zaphod", "Zaphod without the address"] + ["words"] * 60
+    got = {r.doc_id: r for r in pii.sanitise(documents(texts)).collect()}
+    for i in range(3):
+        assert not any(w in got[i].sanitised for w in ("Zaphod", "Li", "X-42B", "x-42b")) and "many plain words" in got[i].sanitised
+    marked = {texts[0][t.s : t.e] for t in got[0].terms}
+    assert {"Zaphod", "Li", "X-42B", "x-42b"} <= marked and "plain" not in marked
+    assert "Zaphod" not in got[63].sanitised  # far from the address, but in a document that holds it
+    assert got[64].sanitised == texts[64]
+
+
 def test_both_ways_of_counting_terms(documents, monkeypatch):
     want = [tuple(r) for r in pii.find(documents(corpus())).select("doc_id", "terms").orderBy("doc_id").collect()]
     monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
