@@ -13,7 +13,8 @@ members agree on the kept bits, so once k bits are free there are at most 2 ** k
 bucket lists all its pairs either: each yields a spanning forest of its links.
 
 The pipeline's stage needs a similarity of 0.8 of five-word shingles, which is about ten differing
-bits and beyond any small radius. It finds its candidates by an exact prefix join instead.
+bits and beyond any small radius. Covering tables find the pairs within the radius; what these
+leave apart goes on to an exact prefix join, so that no pair is lost.
 """
 
 from __future__ import annotations
@@ -192,7 +193,7 @@ def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _prefixes(text: Column, late: list[int]) -> Column:
-    """struct<n,tokens>: the number of a text's different shingles, and the first of them in the stage's order.
+    """struct<n,tokens,fp>: the number of a text's different shingles, the first of them in the stage's order, and their fingerprint.
 
     The order is by hash, but for ``late``, which come last and in the order given. Of n shingles an
     alike text has ceil(0.8 n) at least, so the first that both have is among each one's first
@@ -202,18 +203,20 @@ def _prefixes(text: Column, late: list[int]) -> Column:
     known = np.asarray(late, dtype=np.int64)[at]
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        sizes, out = [], []
+        sizes, out, prints = [], [], []
         for t in texts:
             own = _shingles(t, NEAR_WORDS)
-            h = np.sort(np.fromiter(own, dtype="<u8", count=len(own)).view("<i8"))
+            h = np.fromiter(own, dtype="<u8", count=len(own))
+            prints.append(_signed(_majority(h)))
+            h = np.sort(h.view("<i8"))
             if len(known):
                 spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 h = h[np.argsort(np.where(known[spot] == h, at[spot] + 1, 0), kind="stable")]
             sizes.append(len(h))
             out.append(h[: len(h) + (-len(h) * SHARE) // OF + 1])
-        return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": pd.Series(out, dtype=object)})
+        return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": pd.Series(out, dtype=object), "fp": pd.Series(prints, dtype="int64")})
 
-    return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())))(text)
+    return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())).add("fp", "long"))(text)
 
 
 def _possible(a_n, a_pos, b_n, b_pos):
@@ -248,20 +251,26 @@ def _few(df: DataFrame) -> DataFrame:
 def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect the nodes exactly as all pairs alike to 0.8 do.
 
-    ``nodes`` has (node, n, tokens), their prefixes in the order of hashes; ``texts`` (t_row, t) the
-    text of each node. Shingles in the prefixes of many nodes are first put last in the order. A
+    ``nodes`` has (node, n, tokens, fp), their prefixes in the order of hashes and fingerprints;
+    ``texts`` (t_row, t) the text of each node. Nodes that covering tables bring together are compared
+    first. For the others, shingles in the prefixes of many nodes are put last in the order. A
     token's members are then compared with the first few of them, in the order of a hash; after that
     only members of different groups are, in the end all of them, a large token's in parts of
     about ``LIMIT``.
     """
+    prints = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    equal = nodes.join(prints.withColumnRenamed("fp", "p_fp"), F.col("fp") == F.col("p_fp")).filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    within = radius_links(prints.select("fp"))
+    named = within.join(prints, F.col("a") == F.col("fp")).select(F.col("first").alias("x"), "b").join(prints, F.col("b") == F.col("fp")).select(F.col("x").alias("a"), F.col("first").alias("b"))
+    seeds = equal.unionByName(named)
     sizes = _sizes(nodes)
     late = sizes.filter(F.col("size") > LIMIT).orderBy(F.desc("size"), "token").limit(LATE).collect()  # LATE rows at most
     if late:
         order = [r.token for r in reversed(late)]
         heavy = F.broadcast(nodes.sparkSession.createDataFrame([(t,) for t in order], "token bigint"))
         touched = stored(nodes.select("node", F.explode("tokens").alias("token")).join(heavy, "token", "left_semi").select("node").distinct(), "touched")
-        again = texts.join(_few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.n", "p.tokens")
-        nodes = stored(nodes.join(_few(touched), "node", "left_anti").select("node", "n", "tokens").unionByName(again), "nodes")
+        again = texts.join(_few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.n", "p.tokens", "p.fp")
+        nodes = stored(nodes.join(_few(touched), "node", "left_anti").select("node", "n", "tokens", "fp").unionByName(again), "nodes")
         sizes = _sizes(nodes)
     held = stored(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(_few(sizes), "token"), "held")
 
@@ -279,7 +288,12 @@ def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         left = pairs.join(own, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
         return stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike("ta", "t").alias("alike")).filter("alike").select("a", "b"), "links")
 
-    links, state, last = None, held.withColumn("group", F.col("node")), 0
+    def regrouped(state: DataFrame, links: DataFrame) -> DataFrame:
+        groups = components(links, "a", "b").withColumnRenamed("node", "g_node")
+        return state.join(_few(groups), F.col("node") == F.col("g_node"), "left").select(*held.columns, F.coalesce("root", "node").alias("group"))
+
+    links = alike(seeds)
+    state, last = stored(regrouped(held, links), "grouped"), 0
     for pivots in PIVOTS:
         several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
         state = state.join(_few(several), "token", "left_semi")
@@ -287,10 +301,8 @@ def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         firsts = state.select("token", F.struct("node", "n", "pos", "group").alias("f"), nth.alias("nth")).filter(F.col("nth") <= pivots).filter(F.col("nth") > last).select(F.col("token").alias("f_token"), "f")
         apart = (F.col("group") != F.col("f.group")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos"))
         found = alike(state.join(firsts, (F.col("token") == F.col("f_token")) & apart).select(F.col("f.node").alias("a"), F.col("node").alias("b")))
-        links = found if links is None else links.unionByName(found)
-        groups = components(links, "a", "b").withColumnRenamed("node", "g_node")
-        state = state.drop("group").join(_few(groups), F.col("node") == F.col("g_node"), "left").select(*held.columns, F.coalesce("root", "node").alias("group"))
-        state = stored(state.filter(F.col("size") > pivots), "grouped")  # of the other tokens all pairs are compared
+        links = links.unionByName(found)
+        state = stored(regrouped(state.drop("group"), links).filter(F.col("size") > pivots), "grouped")  # of the other tokens all pairs are compared
         last = pivots
     several = state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
     parts = F.ceil(F.col("size") / LIMIT).cast("int")
@@ -305,18 +317,20 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     """``df`` with one row of each group of near duplicates, the one with the smallest id.
 
     Rows are linked if their sets of five-word shingles have a similarity of 0.8 or more, and
-    every such pair is found, whatever was edited: candidates are the texts with a common shingle
-    in their prefixes (``near_links``), and each is compared on its whole text, unless the two are
-    linked already. Texts without a word are alike. Rows with a null id stay, one for each
-    different text.
+    every such pair is found, whatever was edited: candidates are the texts whose fingerprints
+    covering tables bring together, then those with a common shingle in their prefixes
+    (``near_links``), and each is compared on its whole text, unless the two are linked already.
+    Null and empty texts, and others without a word, are alike. Of rows that repeat an id and a text
+    one stays; null ids come after all others. An empty table stays empty. Columns of ``df`` may
+    have any names.
     """
     n = no_clash(df, "row")
     rows = stored(df.withColumn(n["row"], F.monotonically_increasing_id()), "rows")
     # rows of equal texts are one node, named by its smallest row number
     own_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row"))
     keyed = stored(rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _prefixes(text_of(text_col), []).alias("p")), "prefixes")
-    nodes = stored(keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("p").alias("p")).select("same", "node", "p.n", "p.tokens"), "nodes")
-    links = near_links(nodes.select("node", "n", "tokens"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
+    nodes = stored(keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("p").alias("p")).select("same", "node", "p.n", "p.tokens", "p.fp"), "nodes")
+    links = near_links(nodes.select("node", "n", "tokens", "fp"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
     roots = components(links, "a", "b")
     grouped = keyed.join(nodes.select("same", F.col("node").alias("rep")), "same").select("own", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias("keep_row"))
