@@ -1,9 +1,10 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a grouped minimum and a join; each round is written to the shared folder, which
-cuts the lineage. A node that has more than ``HEAVY`` of all links is met through a broadcast (there
-are fewer than 2 / ``HEAVY`` of them by arithmetic), so that no task gets all links of a large
-component's root. Nothing is gathered on the driver but one count and one checksum a round.
+cuts the lineage. The minima are written before they are joined: both sides of the join are then
+plain shuffles, and adaptive execution can split the links of a large component's root, which it
+could not if the minima came straight from their aggregate. Nothing is gathered on the driver but
+one count and one checksum a round.
 """
 
 from __future__ import annotations
@@ -13,16 +14,6 @@ from pyspark.sql import functions as F
 
 from tessaria.llm.common import stored
 
-#: A node is heavy if it has more than this share of the links.
-HEAVY = 1 / 500
-
-
-def _least_joined(links: DataFrame, by: str, least: DataFrame, links_in_all: int) -> DataFrame:
-    """``links`` with the column ``m`` of ``least`` (by, m, n); the few nodes with most links are broadcast."""
-    bound = links_in_all * HEAVY
-    heavy, light = F.broadcast(least.filter(F.col("n") > bound).drop("n")), least.filter(F.col("n") <= bound).drop("n")
-    return links.join(heavy, by).unionByName(links.join(heavy, by, "left_anti").join(light, by))
-
 
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, root) for every node of ``links`` (bigint pairs); root is the smallest node reachable.
@@ -38,9 +29,9 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
             return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
         last = state
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count("*").alias("n"))
-        large = _least_joined(both.filter("v > u"), "u", least, state[0]).select(F.col("v").alias("hi"), F.col("m").alias("lo")).filter("hi != lo").distinct()
+        least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).filter("hi != lo").distinct()
         # nodes that only have smaller neighbours keep their links to them through the neighbours' side above
-        tops = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count("*").alias("n"))
-        small = _least_joined(large, "hi", tops, state[0]).filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        tops = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(tops, "hi").filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         edges = stored(small.unionByName(tops.select("hi", F.col("m").alias("lo"))).distinct(), "edges")

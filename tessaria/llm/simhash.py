@@ -39,10 +39,12 @@ LIMIT = 128
 #: In the pipeline's stage: words in a shingle, least similarity of two shingle sets, and that as a fraction.
 NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 SHARE, OF = Fraction(str(NEAR_SIMILARITY)).as_integer_ratio()
+#: Cells of shingles whose parity is kept for each text: a power of two.
+CELLS = 1024
 #: Shingles that are put last in the stage's order, the most frequent first to go; any number gives the same result.
 LATE = 100_000
-#: With how many of a shingle's texts all others are compared, round by round, before all pairs that are still apart are.
-PIVOTS = (8, 64)
+#: With how many of a shingle's texts all others that are still apart are compared, before all pairs that are still apart are.
+PIVOTS = 16
 #: With at most so many buckets, or pairs, to look up, their numbers are broadcast; with more that is a join.
 BROADCAST_PAIRS = 1_000_000
 
@@ -192,31 +194,33 @@ def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) >= NEAR_SIMILARITY for x, y in zip(a, b, strict=True)], dtype=bool)
 
 
-def _prefixes(text: Column, late: list[int]) -> Column:
-    """struct<n,tokens,fp>: the number of a text's different shingles, the first of them in the stage's order, and their fingerprint.
+def _prefixes(text: Column, late: np.ndarray) -> Column:
+    """struct<n,tokens,fp,parity>: the number of a text's different shingles, the first of them in the stage's order,
+    the fingerprint of all, and the parity of how many fall into each of ``CELLS`` cells.
 
     The order is by hash, but for ``late``, which come last and in the order given. Of n shingles an
     alike text has ceil(0.8 n) at least, so the first that both have is among each one's first
     n - ceil(0.8 n) + 1, whatever the order.
     """
-    at = np.argsort(np.asarray(late, dtype=np.int64), kind="stable")
-    known = np.asarray(late, dtype=np.int64)[at]
+    at = np.argsort(late, kind="stable")
+    known = late[at]
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        sizes, out, prints = [], [], []
+        sizes, out, prints, cells = [], [], [], []
         for t in texts:
             own = _shingles(t, NEAR_WORDS)
             h = np.fromiter(own, dtype="<u8", count=len(own))
             prints.append(_signed(_majority(h)))
+            cells.append(np.packbits(np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1, bitorder="little").view("<i8"))
             h = np.sort(h.view("<i8"))
             if len(known):
                 spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 h = h[np.argsort(np.where(known[spot] == h, at[spot] + 1, 0), kind="stable")]
             sizes.append(len(h))
             out.append(h[: len(h) + (-len(h) * SHARE) // OF + 1])
-        return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": pd.Series(out, dtype=object), "fp": pd.Series(prints, dtype="int64")})
+        return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": pd.Series(out, dtype=object), "fp": pd.Series(prints, dtype="int64"), "parity": pd.Series(cells, dtype=object)})
 
-    return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())).add("fp", "long"))(text)
+    return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())).add("fp", "long").add("parity", T.ArrayType(T.LongType())))(text)
 
 
 def _possible(a_n, a_pos, b_n, b_pos):
@@ -227,14 +231,24 @@ def _possible(a_n, a_pos, b_n, b_pos):
 
 
 @F.pandas_udf(T.ArrayType(T.StructType().add("a", "long").add("b", "long")))
-def _open_pairs(nodes: pd.Series, sizes: pd.Series, places: pd.Series, groups: pd.Series, parts: pd.Series, across: pd.Series) -> pd.Series:
-    """The possible pairs of a bucket's members of different groups; ``across``: of different parts only."""
+def _open_pairs(nodes: pd.Series, sizes: pd.Series, places: pd.Series, groups: pd.Series, parts: pd.Series, parities: pd.Series, across: pd.Series) -> pd.Series:
+    """The possible pairs of a bucket's members of different groups; ``across``: of different parts only.
+
+    Cells of different parity are no more than the shingles that only one of two texts has, and
+    alike texts have few of these: most pairs of a large family end here, and are never listed.
+    """
     out = []
-    for node, n, pos, group, part, cross in zip(nodes, sizes, places, groups, parts, across, strict=True):
+    for node, n, pos, group, part, parity, cross in zip(nodes, sizes, places, groups, parts, parities, across, strict=True):
         ok = _possible(n[:, None].astype("i8"), pos[:, None].astype("i8"), n[None, :].astype("i8"), pos[None, :].astype("i8")) & (group[:, None] != group[None, :]) & (node[:, None] < node[None, :])
         if cross:
             ok &= part[:, None] != part[None, :]
-        out.append([{"a": int(node[i]), "b": int(node[j])} for i, j in zip(*np.nonzero(ok), strict=True)])
+        bits, (i, j) = np.stack(parity).view(np.uint64), np.nonzero(ok)
+        only = np.zeros(len(i), dtype=np.int64)
+        for at in range(0, len(i), 1 << 14):
+            only[at : at + (1 << 14)] = np.bitwise_count(bits[i[at : at + (1 << 14)]] ^ bits[j[at : at + (1 << 14)]]).sum(axis=1)
+        near = only * (OF + SHARE) <= (n[i].astype("i8") + n[j]) * (OF - SHARE)
+        i, j = i[near], j[near]
+        out.append([{"a": int(node[a]), "b": int(node[k])} for a, k in zip(i, j, strict=True)])
     return pd.Series(out, dtype=object)
 
 
@@ -251,12 +265,13 @@ def _few(df: DataFrame) -> DataFrame:
 def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect the nodes exactly as all pairs alike to 0.8 do.
 
-    ``nodes`` has (node, n, tokens, fp), their prefixes in the order of hashes and fingerprints;
-    ``texts`` (t_row, t) the text of each node. Nodes that covering tables bring together are compared
-    first. For the others, shingles in the prefixes of many nodes are put last in the order. A
-    token's members are then compared with the first few of them, in the order of a hash; after that
-    only members of different groups are, in the end all of them, a large token's in parts of
-    about ``LIMIT``.
+    ``nodes`` has (node, n, tokens, fp, parity), their prefixes in the order of hashes; ``texts``
+    (t_row, t) the text of each node. Nodes that covering tables bring together are compared first.
+    For the others, shingles in the prefixes of many nodes are put last in the order. Each node is
+    then compared with one: of all its tokens' members the first, in the order of a hash, so that a
+    large group of copies meets in about as many pairs as it has members. After that only members
+    of different groups are compared: with the first few of a token, then all of them, a large
+    token's in parts of about ``LIMIT``.
     """
     prints = nodes.groupBy("fp").agg(F.min("node").alias("first"))
     equal = nodes.join(prints.withColumnRenamed("fp", "p_fp"), F.col("fp") == F.col("p_fp")).filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
@@ -264,13 +279,13 @@ def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     named = within.join(prints, F.col("a") == F.col("fp")).select(F.col("first").alias("x"), "b").join(prints, F.col("b") == F.col("fp")).select(F.col("x").alias("a"), F.col("first").alias("b"))
     seeds = equal.unionByName(named)
     sizes = _sizes(nodes)
-    late = sizes.filter(F.col("size") > LIMIT).orderBy(F.desc("size"), "token").limit(LATE).collect()  # LATE rows at most
-    if late:
-        order = [r.token for r in reversed(late)]
-        heavy = F.broadcast(nodes.sparkSession.createDataFrame([(t,) for t in order], "token bigint"))
+    heavy = stored(sizes.filter(F.col("size") > LIMIT).orderBy(F.desc("size"), "token").limit(LATE), "late")  # LATE rows at most
+    order = np.array([r[0] for r in heavy.orderBy("size", F.desc("token")).select("token").toLocalIterator()], dtype=np.int64)
+    if len(order):
+        heavy = F.broadcast(heavy.select("token"))
         touched = stored(nodes.select("node", F.explode("tokens").alias("token")).join(heavy, "token", "left_semi").select("node").distinct(), "touched")
-        again = texts.join(_few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.n", "p.tokens", "p.fp")
-        nodes = stored(nodes.join(_few(touched), "node", "left_anti").select("node", "n", "tokens", "fp").unionByName(again), "nodes")
+        again = texts.join(_few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.*")
+        nodes = stored(nodes.join(_few(touched), "node", "left_anti").select(*again.columns).unionByName(again), "nodes")
         sizes = _sizes(nodes)
     held = stored(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(_few(sizes), "token"), "held")
 
@@ -293,23 +308,29 @@ def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
         return state.join(_few(groups), F.col("node") == F.col("g_node"), "left").select(*held.columns, F.coalesce("root", "node").alias("group"))
 
     links = alike(seeds)
-    state, last = stored(regrouped(held, links), "grouped"), 0
-    for pivots in PIVOTS:
+    state = stored(regrouped(held, links), "grouped")
+    spread = F.struct(F.xxhash64("node").alias("h"), "node")
+    for pivots in (1, PIVOTS):
         several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
         state = state.join(_few(several), "token", "left_semi")
-        nth = F.row_number().over(W.partitionBy("token").orderBy(F.xxhash64("node"), "node"))
-        firsts = state.select("token", F.struct("node", "n", "pos", "group").alias("f"), nth.alias("nth")).filter(F.col("nth") <= pivots).filter(F.col("nth") > last).select(F.col("token").alias("f_token"), "f")
-        apart = (F.col("group") != F.col("f.group")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos"))
-        found = alike(state.join(firsts, (F.col("token") == F.col("f_token")) & apart).select(F.col("f.node").alias("a"), F.col("node").alias("b")))
-        links = links.unionByName(found)
-        state = stored(regrouped(state.drop("group"), links).filter(F.col("size") > pivots), "grouped")  # of the other tokens all pairs are compared
-        last = pivots
+        if pivots == 1:
+            first = state.groupBy("token").agg(F.min(spread).alias("f")).select(F.col("token").alias("f_token"), "f")
+            pairs = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(F.min("f").alias("f")).select(F.col("node").alias("a"), F.col("f.node").alias("b")).filter("a != b")
+        else:
+            nth = F.row_number().over(W.partitionBy("token").orderBy(spread))
+            firsts = state.select("token", F.struct("node", "n", "pos", "group").alias("f"), nth.alias("nth")).filter(F.col("nth") <= pivots).select(F.col("token").alias("f_token"), "f")
+            apart = (F.col("group") != F.col("f.group")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos"))
+            pairs = state.join(firsts, (F.col("token") == F.col("f_token")) & apart).select(F.col("f.node").alias("a"), F.col("node").alias("b"))
+        links = links.unionByName(alike(pairs))
+        # of a token with no more members than this all pairs have been compared
+        state = stored(regrouped(state.drop("group"), links).filter(F.col("size") > (0 if pivots == 1 else pivots)), "grouped")
     several = state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
     parts = F.ceil(F.col("size") / LIMIT).cast("int")
-    cut = state.join(_few(stored(several, "several")), "token", "left_semi").withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    cells = nodes.select(F.col("node").alias("c_node"), "parity")
+    cut = state.join(_few(stored(several, "several")), "token", "left_semi").join(cells, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part")).alias("members"))
-    rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(*[F.col(f"members.{k}") for k in ("node", "n", "pos", "group", "part")], F.col("i") != F.col("j"))).alias("l"))
+    cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
+    rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(*[F.col(f"members.{k}") for k in ("node", "n", "pos", "group", "part", "parity")], F.col("i") != F.col("j"))).alias("l"))
     return links.unionByName(alike(rest.select("l.a", "l.b")))
 
 
@@ -328,9 +349,9 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     rows = stored(df.withColumn(n["row"], F.monotonically_increasing_id()), "rows")
     # rows of equal texts are one node, named by its smallest row number
     own_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row"))
-    keyed = stored(rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _prefixes(text_of(text_col), []).alias("p")), "prefixes")
-    nodes = stored(keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("p").alias("p")).select("same", "node", "p.n", "p.tokens", "p.fp"), "nodes")
-    links = near_links(nodes.select("node", "n", "tokens", "fp"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
+    keyed = stored(rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _prefixes(text_of(text_col), np.zeros(0, dtype=np.int64)).alias("p")), "prefixes")
+    nodes = stored(keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("p").alias("p")).select("same", "node", "p.*"), "nodes")
+    links = near_links(nodes.drop("same"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
     roots = components(links, "a", "b")
     grouped = keyed.join(nodes.select("same", F.col("node").alias("rep")), "same").select("own", "rep").join(roots, F.col("rep") == F.col("node"), "left")
     least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias("keep_row"))
