@@ -7,14 +7,13 @@ built-in expressions only.
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space as Unicode and the information separators have it.
 SPACE = r"[\s\x1c-\x1f]"
-#: Last code point of the tables of characters.
-LAST = 0x24F
 PREFIX = r"^[A-Za-z0-9]{1,3}(?U:\s)*[).\-](?U:\s)+"
 
 # Months, and the literals that mark captured headers and template rows.
@@ -25,27 +24,56 @@ AUDIT_HEADERS = ["probabilidade", "impacto", "tratamento", "risco", "probabilida
 DELIVERY_HEADERS = ["servico", "servico/acao", "acao", "produto", "produto ptd", "eixo", "data pactuada", "data entrega", "area responsavel", "id", "id entrega"]
 
 
-def _decomposed() -> tuple[dict[str, str], dict[str, str]]:
+#: What the tables of characters cover: Latin, Greek and Cyrillic, punctuation, letterlike and number forms, circled and full-width letters, Latin ligatures.
+BLOCKS = ((0xA0, 0x52F), (0x1D00, 0x218F), (0x2460, 0x24FF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
+
+
+def _letters(blocks: tuple = BLOCKS) -> list[str]:
+    return [chr(c) for first, last in blocks for c in range(first, last + 1)]
+
+
+@lru_cache(maxsize=4)
+def _decomposed(blocks: tuple = BLOCKS) -> tuple[dict[str, str], dict[str, str]]:
     """Compatibility forms without combining marks, by character: one to one, and one to more."""
     one, more = {}, {}
-    for code in range(0xA0, LAST + 1):
-        c = chr(code)
+    for c in _letters(blocks):
         plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
-        if plain != c:
+        if plain not in ("", c):
             (one if len(plain) == 1 else more)[c] = plain
     return one, more
 
 
-def _compositions() -> list[tuple[str, str]]:
-    """(decomposed, composed) for every letter that composes, shorter compositions first."""
-    pairs = []
-    for code in range(0xC0, LAST + 1):
-        c = chr(code)
-        pair = unicodedata.normalize("NFD", c)
-        if len(pair) > 1 and unicodedata.normalize("NFC", pair) == c:
-            head = unicodedata.normalize("NFC", pair[:-1])
-            pairs.append((len(pair), head + pair[-1], c))
-    return [(d, c) for _, d, c in sorted(pairs)]
+@lru_cache(maxsize=1)
+def _compositions() -> tuple[list[tuple[str, str]], dict[str, str]]:
+    """(decomposed, composed) for every letter that composes, shorter compositions first; and what a single other character stands for."""
+    pairs, single = [], {}
+    for c in _letters():
+        pair, whole = unicodedata.normalize("NFD", c), unicodedata.normalize("NFC", c)
+        if whole != c:
+            if len(whole) == 1:
+                single[c] = whole
+        elif len(pair) > 1:
+            pairs.append((len(pair), unicodedata.normalize("NFC", pair[:-1]) + pair[-1], c))
+    return [(d, c) for _, d, c in sorted(pairs)], single
+
+
+def _ranges(points: list[int]) -> str:
+    """Code points as the inside of a character class."""
+    out, start = [], None
+    for at, p in enumerate(points):
+        start = p if start is None else start
+        if at + 1 == len(points) or points[at + 1] != p + 1:
+            out.append(rf"\x{{{start:X}}}" if start == p else rf"\x{{{start:X}}}-\x{{{p:X}}}")
+            start = None
+    return "".join(out)
+
+
+@lru_cache(maxsize=1)
+def _order_of_marks() -> str:
+    """A mark above, and one after it that canonical order puts before it."""
+    near = [c for c in range(0x300, 0x370) if unicodedata.combining(chr(c))]
+    above, before = ([c for c in near if keep(unicodedata.combining(chr(c)))] for keep in (lambda k: k == 230, lambda k: k < 230))
+    return f"([{_ranges(above)}])([{_ranges(before)}])"
 
 
 def let(value: Column, body) -> Column:
@@ -77,19 +105,46 @@ def collapsed(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, rf"(?U){SPACE}+", " "))
 
 
+def _looked_up(ch: Column, table: dict[str, str]) -> Column:
+    """What a constant table has for a character; the character itself if it has nothing."""
+    first, second = (F.split(F.lit("\x01".join(side)), "\x01") for side in (table.keys(), table.values()))
+    return F.coalesce(F.get(second, F.array_position(first, ch).cast("int") - 1), ch)
+
+
+def _with_each(x: Column, pattern: str, new) -> Column:
+    """``x`` with every text that the pattern finds replaced by ``new`` of it; the longest first."""
+    found = F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), F.lit(0)))
+    longest = F.array_sort(F.transform(found, lambda f: F.struct((-F.length(f)).alias("n"), f.alias("f"))))
+    return F.aggregate(longest, x, lambda acc, f: F.replace(acc, f.f, new(f.f)))
+
+
 def composed(c: Column) -> Column:
-    """Letters with combining marks as single characters (NFC, up to U+024F)."""
-    return let(c, lambda x: F.when(F.regexp_like(x, F.lit(r"[\u0300-\u036f]")), _replaced(x, _compositions())).otherwise(x))
+    """NFC of the characters in ``BLOCKS``: letters with combining marks as single characters where there is one.
+
+    Marks after a letter are put in canonical order two at a time; what composes only over another
+    mark in between stays. Characters elsewhere stay as they are.
+    """
+    pairs, single = _compositions()
+    order = _order_of_marks()
+
+    def cluster(f: Column) -> Column:
+        return _replaced(F.regexp_replace(F.regexp_replace(f, order, "$2$1"), order, "$2$1"), pairs)
+
+    def whole(x: Column) -> Column:
+        y = F.translate(x, "".join(single), "".join(single.values()))
+        return F.when(F.regexp_like(x, F.lit(r"[\u0300-\u036f]")), _with_each(y, r"[^\u0300-\u036f][\u0300-\u036f]+", cluster)).otherwise(y)
+
+    return let(c, whole)
 
 
 def strip_accents(c: Column) -> Column:
-    """Compatibility forms without combining marks (NFKD, up to U+024F); texts of ASCII characters pass as they are."""
+    """NFKD of the characters in ``BLOCKS``, without combining marks; texts of ASCII characters pass as they are."""
     one, more = _decomposed()
-    many = f"[{''.join(more)}]"
+    many = f"[{_ranges(sorted([ord(x) for x in more]))}]"
 
     def plain(x: Column) -> Column:
         got = F.translate(x, "".join(one), "".join(one.values()))
-        got = let(got, lambda y: F.when(F.regexp_like(y, F.lit(many)), _replaced(y, list(more.items()))).otherwise(y))
+        got = let(got, lambda y: F.when(F.regexp_like(y, F.lit(many)), _with_each(y, many, lambda f: _looked_up(f, more))).otherwise(y))
         return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(got, r"\p{Mn}", ""))
 
     return let(c, plain)
@@ -166,12 +221,14 @@ def is_fragment(c: Column) -> Column:
 
 
 def size_text(c: Column) -> Column:
-    """Bytes, kilobytes or megabytes, with one decimal from kilobytes on."""
-    return (
-        F.when(c < 1024, F.format_string("%d B", c))
-        .when(c < 1024 * 1024, F.format_string("%.1f KB", c / 1024))
-        .otherwise(F.format_string("%.1f MB", c / (1024 * 1024)))
-    )
+    """Bytes, kilobytes or megabytes, with one decimal from kilobytes on, rounded half to even; null is null."""
+
+    def decimal(unit: int, name: str) -> Column:
+        tenths, rest = F.floor(c * 10 / unit), (c * 10) % unit  # below 2 ** 53 the quotient by a power of two is exact
+        up = F.when((rest * 2 > unit) | ((rest * 2 == unit) & (tenths % 2 == 1)), 1).otherwise(0)
+        return let(tenths + up, lambda t: F.concat(F.floor(t / 10).cast("string"), F.lit("."), (t % 10).cast("string"), F.lit(f" {name}")))
+
+    return F.when(c < 1024, F.format_string("%d B", c)).when(c < 1024 * 1024, decimal(1024, "KB")).when(c.isNotNull(), decimal(1024 * 1024, "MB"))
 
 
 def slug(c: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tessaria.functions import text as tx
 from tessaria.functions import vocab
 from tessaria.operators import audit, match, tables
+from tessaria.sources import files
 
 MONTH = rf"^(?:{'|'.join(tx.MONTHS)})"
 
@@ -18,29 +19,57 @@ def _cell(row: Column, col: Column) -> Column:
 
 
 def risk_rows(rows: DataFrame, shapes: DataFrame) -> DataFrame:
-    """(doc, page, table, row, risco, probabilidade, impacto, tratamento, acoes) of all risk tables.
+    """(doc, page, table, row, state, risco, probabilidade, impacto, tratamento, acoes) of all risk tables.
 
     ``rows`` has (doc, page, table, row, cells), ``shapes`` a row for each table. A table with a
-    header of its own is read by it; a continuation, an orphan, or data taken for a header by
-    the usual order, one later if a first column is short and the table has one column more.
-    Of a document only what follows its first readable table is read.
+    header of its own is read by it. Others are read by the usual order, one later where a number
+    comes first (``carry_headers``), and one later again if they are wider than that order and the
+    first three rows begin with a number or nothing. Data taken for a header are a row of their own, -1.
     """
     kind = tables.risk_document_table(tables.combined(F.col("headers"), F.col("first_row")), F.col("ncols"))
     state = tables.carry_headers(shapes.filter("ncols >= 4"), kind).filter("state != 'skip'")
     heads = state.filter("state = 'header'").select(*tables.TABLE, F.posexplode("headers").alias("col", "text"))
     named = tables.map_risk_columns(heads).groupBy(*tables.TABLE).agg(F.map_from_entries(F.collect_list(F.struct("field", "col"))).alias("map"))
-    recovered = state.filter("state = 'data_as_header'").select(*tables.TABLE, F.lit(-1).cast("long").alias("row"), F.col("headers").alias("cells"))
-    body = rows.select(*tables.TABLE, F.col("row").cast("long").alias("row"), "cells").unionByName(recovered)
-    placed = body.join(state.select(*tables.TABLE, "state", "ncols"), list(tables.TABLE)).join(named, list(tables.TABLE), "left")
-    width = F.when(F.col("ncols") >= 6, 6).otherwise(5)
-    short = F.length(tx.stripped(tx.blank_as_empty(F.get("cells", F.lit(0))))) <= 3
-    offset = F.when(F.col("row") == -1, 0).otherwise(F.when(width == 6, 1).otherwise(0) + F.when((F.col("ncols") > width) & short, 1).otherwise(0))
-    fields = {f: _cell(F.col("cells"), F.coalesce(F.element_at("map", f), F.when(F.col("map").isNull(), F.lit(i) + offset))) for i, f in enumerate(tables.RISK_COLUMNS)}
-    out = placed.filter(~tables.is_template_row(F.array_join("cells", " "))).select(*tables.TABLE, "row", "state", *[F.coalesce(c, F.lit("")).alias(f) for f, c in fields.items()])
+    template = tables.is_template_row(F.array_join("cells", " "))
+    body = rows.select(*tables.TABLE, F.col("row").cast("long").alias("row"), "cells", template.alias("template"))
+    starts = body.groupBy(*tables.TABLE).agg(F.array_sort(F.collect_list(F.struct("row", "template", tx.stripped(F.coalesce(F.get("cells", F.lit(0)), F.lit("None"))).alias("v")))).alias("starts"))
+    state = state.join(starts, list(tables.TABLE), "left")
+    # a template row at the top does not count, unless the header is data
+    drop = F.when((F.col("state") != "data_as_header") & F.coalesce(F.get("starts", F.lit(0))["template"], F.lit(False)), 1).otherwise(0)
+    firsts = F.filter(F.slice("starts", drop + 1, F.lit(3)), lambda x: x.v != "")
+    number = F.forall(firsts, lambda x: (F.length(x.v) <= 3) & ~F.lower(x.v).isin("nan", "none"))
+    some = F.coalesce(F.size("starts") > drop, F.lit(False)) & F.col("starts").isNotNull()
+    usual = F.when(F.col("numbered"), 6).otherwise(5)
+    offset = F.when(F.col("numbered"), 1).otherwise(0) + F.when((F.col("ncols") > usual) & some & F.coalesce(number, F.lit(False)), 1).otherwise(0)
+    state = state.select(*tables.TABLE, "state", "headers", offset.alias("offset"))
+    recovered = state.filter("state = 'data_as_header'").select(*tables.TABLE, F.lit(-1).cast("long").alias("row"), F.col("headers").alias("cells"), tables.is_template_row(F.array_join("headers", " ")).alias("template"))
+    placed = body.unionByName(recovered).join(state.drop("headers"), list(tables.TABLE)).join(named, list(tables.TABLE), "left").filter(~F.col("template"))
+    offset = F.when(F.col("row") == -1, 0).otherwise(F.col("offset"))
+    by_name = lambda f: F.coalesce(F.element_at("map", f), F.lit(0)) if f == "risco" else F.element_at("map", f)
+    fields = {f: _cell(F.col("cells"), F.when(F.col("state") == "header", by_name(f)).otherwise(F.lit(i) + offset)) for i, f in enumerate(tables.RISK_COLUMNS)}
+    out = placed.select(*tables.TABLE, "row", "state", *[F.coalesce(c, F.lit("")).alias(f) for f, c in fields.items()])
     literal = F.lit(False)
     for f in ("risco", "probabilidade", "impacto", "tratamento"):
         literal = literal | tx.is_literal(F.col(f), tx.RISK_HEADERS)
-    return out.filter(((F.col("risco") != "") | (F.col("probabilidade") != "") | (F.col("impacto") != "")) & ~literal)
+    some = (F.col("risco") != "") | (F.col("probabilidade") != "") | (F.col("impacto") != "")
+    return out.filter(F.when(F.col("row") == -1, F.col("risco") != "").otherwise(some & ~literal))
+
+
+def risk_document_entries(cells: DataFrame, texts: DataFrame) -> DataFrame:
+    """Risk entries of documents' tables, end to end: rows put together, tables told apart, entries read and matched.
+
+    ``cells`` has (doc, page, table, row, col, text), row -1 being the header; ``texts`` (doc, text)
+    the whole text of each, whose list of actions its entries refer to.
+    """
+    shapes, rows = tables.broken_down(cells)
+    actions = texts.select("doc", tables.action_list(F.col("text")).alias("actions"))
+    # every field is matched on its own, so the rows are written once and not computed for each
+    return risk_entries(files.cut(risk_rows(rows, shapes)), actions)
+
+
+def documents_without_entries(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """(doc, document_type, stage, error_type) of the documents in which no risk table was found."""
+    return docs.select("doc").join(entries.select("doc").distinct(), "doc", "left_anti").select("doc", F.lit("diretivo").alias("document_type"), F.lit("extraction").alias("stage"), F.lit("no_risk_table").alias("error_type"))
 
 
 def _scored(df: DataFrame, base: DataFrame, col: str, scales: dict[str, tuple[list[str], dict[str, str]]]) -> DataFrame:
@@ -61,7 +90,8 @@ def risk_entries(rows: DataFrame, actions: DataFrame | None = None) -> DataFrame
     for col, scales in (("probabilidade", {"p": p, "i": i}), ("impacto", {"i": i, "p": p}), ("tratamento", {"t": t})):
         r = _scored(r, rows, col, scales)
     swap = audit.swapped(F.col("probabilidade"), F.col("impacto"), F.col("probabilidade_on_p.score"), F.col("impacto_on_i.score"), F.col("probabilidade_on_i.score"), F.col("impacto_on_p.score"))
-    r = r.withColumn("swap", swap)
+    header = F.col("state").eqNullSafe("data_as_header") & (F.col("row") == -1) if "state" in rows.columns else F.lit(False)
+    r = r.withColumn("swap", swap & ~header)
     r = r.withColumns({
         "po": F.when(F.col("swap"), F.col("impacto")).otherwise(F.col("probabilidade")), "io": F.when(F.col("swap"), F.col("probabilidade")).otherwise(F.col("impacto")),
         "pm": F.when(F.col("swap"), F.col("impacto_on_p")).otherwise(F.col("probabilidade_on_p")), "im": F.when(F.col("swap"), F.col("probabilidade_on_i")).otherwise(F.col("impacto_on_i")),
@@ -74,7 +104,6 @@ def risk_entries(rows: DataFrame, actions: DataFrame | None = None) -> DataFrame
         F.when(F.col("risco") == "", "risco vazio"),
         long("impacto", F.col("io"), F.col("im.score")), long("tratamento", F.col("tratamento"), F.col("tratamento_on_t.score")),
     ))
-    header = F.col("state").eqNullSafe("data_as_header") & (F.col("row") == -1) if "state" in rows.columns else F.lit(False)
     r = r.withColumn("reasons", F.when(header, F.array(F.lit("recuperado de header de coluna"))).otherwise(reasons))
     set_if = lambda m: F.when(F.col(f"{m}.score") >= vocab.REVIEW, F.col(f"{m}.canonical")).otherwise("")
     if actions is not None:

@@ -12,13 +12,12 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessaria.functions import text as tx
 
-#: The most values a vocabulary may have to go with the similarity function; larger ones are joined by blocks.
+#: Values of a vocabulary that go with one similarity function; larger vocabularies are compared block by block.
 LARGEST = 20_000
 _MATCH = T.StructType().add("canonical", "string").add("score", "double")
 
@@ -35,9 +34,10 @@ def folded(s: str) -> str:
 
 def best_by_ratio(value: Column, candidates: list[str]) -> Column:
     """struct<canonical, score>: the candidate whose folded form is most similar to ``value``, folded too; of ties the earliest."""
-    names = [(c, folded(c)) for c in candidates]
     if len(candidates) > LARGEST:
-        raise ValueError(f"a vocabulary of {len(candidates)} values is too large for the similarity tier")
+        first, rest = best_by_ratio(value, candidates[:LARGEST]), best_by_ratio(value, candidates[LARGEST:])
+        return F.when(rest["score"] > first["score"], rest).otherwise(first)
+    names = [(c, folded(c)) for c in candidates]
 
     def run(values: pd.Series) -> pd.DataFrame:
         out = []
@@ -113,13 +113,22 @@ def alias_keys(alias_map: dict[str, str]) -> list[str]:
 
 
 def half_even(c: Column, digits: int = 3) -> Column:
-    """Rounded half to even by the shortest decimal form (``round`` goes up at halves)."""
-    return F.bround(c.cast("decimal(38,30)"), digits).cast("double")
+    """Scores from 0 to under 2 rounded half to even by their exact binary value (0.8625 is a little more: 0.863)."""
+    unit = 1 << 62
+    parts = (c * F.lit(float(unit))).cast("bigint").cast("decimal(19,0)") * F.lit(10**digits).cast("decimal(6,0)")
+    rest = parts % F.lit(unit).cast("decimal(19,0)")
+    whole = ((parts - rest) / F.lit(unit).cast("decimal(19,0)")).cast("bigint")
+    up = F.when((rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1)), 1).otherwise(0)
+    return (whole + up) / F.lit(float(10**digits))
 
 
 def first_seen(df: DataFrame, key_col: str, seq_col: str) -> DataFrame:
-    """``df`` with is_first: whether a row is the first with its key, by ``seq_col``."""
-    return df.withColumn("is_first", F.row_number().over(W.partitionBy(key_col).orderBy(seq_col)) == 1)
+    """``df`` with is_first: whether a row is the first with its key, by ``seq_col``, whose values differ.
+
+    Minima combine before they are shuffled; no task sorts all rows of a frequent key.
+    """
+    first = df.groupBy(F.col(key_col).alias("f_key")).agg(F.min(seq_col).alias("f_seq"))
+    return df.join(first, F.col(key_col).eqNullSafe(F.col("f_key"))).withColumn("is_first", F.col(seq_col) == F.col("f_seq")).drop("f_key", "f_seq")
 
 
 def match_stats(df: DataFrame, score_col: str = "score") -> DataFrame:

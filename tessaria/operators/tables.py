@@ -158,9 +158,10 @@ def _header_ratio(headers: pd.Series, words: pd.Series) -> pd.Series:
 def map_risk_columns(headers: DataFrame) -> DataFrame:
     """(doc, page, table, field, col) for each field of a risk table that has a column.
 
-    ``headers`` has (doc, page, table, col, text). A header with a keyword scores its share of the
-    header, 0.85 at least; where none has one, the most similar from 0.65 on. What is left takes
-    its place in the usual order, one later if the first of six columns or more is a number.
+    ``headers`` has (doc, page, table, col, text). From left to right the first header that has a
+    keyword (its share of the header, 0.85 at least) or is similar to one (0.65 or more) takes the
+    field; a later one only by a keyword that scores more. What is left takes its place in the usual
+    order, one later if the first of six columns or more is a number.
     """
     spark = headers.sparkSession
     words = spark.createDataFrame([(f, i, w, j) for i, (f, ws) in enumerate(RISK_COLUMNS.items()) for j, w in enumerate(ws)], "field string, f_at int, word string, w_at int")
@@ -171,8 +172,15 @@ def map_risk_columns(headers: DataFrame) -> DataFrame:
     hit = F.when(F.contains(F.col("norm"), F.col("word")), F.greatest(F.length("word") / F.greatest(F.length("norm"), F.lit(1)), F.lit(0.85)))
     scored = distinct.withColumn("hit", hit).withColumn("near", _header_ratio(F.col("norm"), F.col("word"))).groupBy("norm", "is_id", "field", "f_at").agg(F.max("hit").alias("hit"), F.max(F.when(F.col("near") >= 0.65, F.col("near"))).alias("near"))
     each = h.select(*TABLE, "col", "norm", "is_id").join(scored, ["norm", "is_id"])
-    best = each.groupBy(*TABLE, "field", "f_at").agg(F.max_by("col", F.struct("hit", -F.col("col"))).alias("hit_col"), F.max("hit").alias("hit"), F.max_by("col", F.struct("near", -F.col("col"))).alias("near_col"), F.max("near").alias("near"))
-    named = best.select(*TABLE, "field", F.when(F.col("hit").isNotNull(), F.col("hit_col")).when(F.col("near").isNotNull(), F.col("near_col")).alias("col")).filter(F.col("col").isNotNull())
+    seen = each.groupBy(*TABLE, "field").agg(F.array_sort(F.collect_list(F.struct("col", "hit", "near"))).alias("seen"))
+
+    def step(best: Column, x: Column) -> Column:
+        score = F.when(best.col.isNull(), F.coalesce(x.hit, x.near)).otherwise(x.hit)
+        return F.when(F.coalesce(score > best.score, F.lit(False)), F.struct(x.col.alias("col"), score.alias("score"))).otherwise(best)
+
+    start = F.struct(F.lit(None).cast("int").alias("col"), F.lit(0.0).alias("score"))
+    named = seen.withColumn("seen", F.transform("seen", lambda x: F.struct(x.col.cast("int").alias("col"), x.hit.alias("hit"), x.near.alias("near"))))
+    named = named.select(*TABLE, "field", F.aggregate("seen", start, step)["col"].alias("col")).filter(F.col("col").isNotNull())
     per_table = h.groupBy(*TABLE).agg(F.count("*").alias("n"), F.max(F.when(F.col("col") == 0, F.col("is_id") | (F.col("norm") == "col0"))).alias("numbered"), F.collect_set(F.when(F.col("is_id"), F.col("col"))).alias("ids"))
     fields = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(i).alias("at")) for i, f in enumerate(RISK_COLUMNS)])
     usual = per_table.withColumn("x", F.explode(fields)).select(*TABLE, "ids", "n", F.col("x.field").alias("field"), (F.col("x.at") + F.when((F.col("n") >= 6) & F.col("numbered"), 1).otherwise(0)).alias("col"))
@@ -252,23 +260,45 @@ def resolve_actions(text: Column, actions: Column) -> Column:
 
 
 def carry_headers(tables: DataFrame, kind: Column, doc: str = "doc") -> DataFrame:
-    """``tables`` with state (header, data_as_header, continuation, orphan, skip) and carried (the headers that hold for it).
+    """``tables`` with state (header, data_as_header, continuation, orphan, skip), carried (the headers that hold for it) and numbered.
 
-    In page order the last risk table's headers hold for later tables with as many columns.
+    In page order the width of the last risk table, be it one with a header, with data for a header
+    or an orphan, makes later tables of that width continuations; ``carried`` are the last headers
+    of a table that has its own. ``numbered`` tells that columns come in the usual order after a
+    number: the first of these tables had six columns or more and no header, and no header came since.
     """
     order = W.partitionBy(doc).orderBy("page", "table")
-    before = order.rowsBetween(W.unboundedPreceding, -1)
-    marked = tables.withColumn("kind", kind)
-    own = F.when(F.col("kind") == "risk_table", F.struct("ncols", "headers"))
-    marked = marked.withColumn("last", F.last(own, ignorenulls=True).over(before))
-    same = F.col("ncols") == F.col("last.ncols")
+    before, so_far = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(W.unboundedPreceding, W.currentRow)
+    marked = tables.withColumn("kind", kind).withColumns({"as_data": headers_are_data(F.col("headers")), "lost": is_orphan(F.col("headers"), F.col("all_text"))})
+    head = F.col("kind") == "risk_table"
+    # an orphan that turns out to be a continuation has the width that holds already
+    marked = marked.withColumns({
+        "width": F.last(F.when(head | F.col("as_data") | F.col("lost"), F.col("ncols")), ignorenulls=True).over(before),
+        "last": F.last(F.when(head, F.struct("headers")), ignorenulls=True).over(before),
+        "first": F.first(F.when(head | F.col("as_data") | F.col("lost"), F.col("ncols")), ignorenulls=True).over(so_far), "had": F.max(head).over(so_far),
+    })
     state = (
-        F.when(F.col("kind") == "risk_table", "header")
-        .when(F.col("last").isNotNull() & same & headers_are_data(F.col("headers")), "data_as_header")
-        .when(F.col("last").isNotNull() & same & is_risk_data(F.col("all_text"), F.col("ncols")), "continuation")
-        .when(headers_are_data(F.col("headers")), "data_as_header")
-        .when(is_orphan(F.col("headers"), F.col("all_text")), "orphan")
+        F.when(head, "header")
+        .when(F.col("as_data"), "data_as_header")
+        .when((F.col("ncols") == F.col("width")) & is_risk_data(F.col("all_text"), F.col("ncols")), "continuation")
+        .when(F.col("lost"), "orphan")
         .otherwise("skip")
     )
     marked = marked.withColumn("state", state)
-    return marked.withColumn("carried", F.when(F.col("state") == "header", F.col("headers")).when(F.col("state").isin("continuation", "data_as_header"), F.col("last.headers"))).drop("last")
+    carried = F.when(head, F.col("headers")).when(F.col("state").isin("continuation", "data_as_header"), F.col("last.headers"))
+    return marked.withColumns({"carried": carried, "numbered": ~F.col("had") & F.coalesce(F.col("first") >= 6, F.lit(False))}).drop("as_data", "lost", "width", "last", "first", "had")
+
+
+def broken_down(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(tables, rows) of cells: one row for each table with rows put together (``shapes``' columns), and its rows (doc, page, table, row, cells)."""
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("col", "text"))), lambda x: x["text"])
+    lines = cells.groupBy(*TABLE, "row").agg(texts.alias("cells"))
+    heads = lines.filter("row = -1").select(*TABLE, F.transform("cells", tx.blank_as_empty).alias("headers"))
+    wide = heads.filter(F.size("headers") >= 4).select(*TABLE)
+    rows = consolidate_rows(lines.filter("row >= 0").join(wide, list(TABLE), "left_semi"))
+    plain = F.transform("cells", tx.blank_as_empty)
+    bodies = rows.groupBy(*TABLE).agg(
+        F.min_by(plain, "row").alias("first_row"), F.count("*").alias("nrows"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row", F.array_join(plain, " ").alias("t")))), lambda x: x["t"]), " ").alias("all_text"),
+    )
+    return heads.join(bodies, list(TABLE), "left").withColumn("ncols", F.size("headers")), rows

@@ -24,7 +24,7 @@ def normalize(x: str) -> str:
 
 
 def plain(x: str) -> str:
-    one, more = _decomposed()
+    one, _ = _decomposed(((0xA0, 0x24F),))
     out = f"translate({x}, {quoted(''.join(one))}, {quoted(''.join(one.values()))})"
     return out
 

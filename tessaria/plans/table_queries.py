@@ -92,7 +92,7 @@ def table_shapes(spark, sf_dir):
     return rows.select("p_partkey", tables.headers_are_data(F.col("h")).alias("as_data"), tables.is_risk_data(F.col("b"), F.size("h")).alias("risk_data"), tables.is_orphan(F.col("h"), F.col("b")).alias("orphan"), tables.is_template_row(F.col("b")).alias("template"))
 
 
-_STORY = f"SELECT doc_id, line, CASE WHEN line % 4 = 1 THEN 'R' || line ELSE '' END AS c0, substring(text, 1, 20) AS c1, CASE WHEN line % 3 = 0 THEN '' ELSE substring(text, 5, 12) END AS c2, CASE WHEN line % 5 = 2 THEN 'a;b' WHEN line % 7 = 0 THEN '- x' ELSE 'nan' END AS c3 FROM ({sql.lines()}) WHERE line < 40"
+_STORY = f"SELECT doc_id, line, CASE WHEN line % 4 = 1 THEN 'R' || line ELSE '' END AS c0, text AS c1, CASE WHEN line % 3 = 0 THEN '' ELSE substring(text, 5) END AS c2, CASE WHEN line % 5 = 2 THEN 'a;b' WHEN line % 7 = 0 THEN '- x' ELSE 'nan' END AS c3 FROM ({sql.lines()})"
 
 
 def _part_sql(c: str) -> str:
@@ -113,10 +113,10 @@ def consolidate_blocks(spark, sf_dir):
     """TBL7: broken rows put together, from each numbered row to the next."""
     line = F.col("line")
     cells = F.array(
-        F.when(line % 4 == 1, F.concat(F.lit("R"), line)).otherwise(""), F.substring("text", 1, 20), F.when(line % 3 == 0, "").otherwise(F.substring("text", 5, 12)),
+        F.when(line % 4 == 1, F.concat(F.lit("R"), line)).otherwise(""), F.col("text"), F.when(line % 3 == 0, "").otherwise(F.expr("substring(text, 5)")),
         F.when(line % 5 == 2, "a;b").when(line % 7 == 0, "- x").otherwise("nan"),
     )
-    rows = extract.text_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), "text").filter("line < 40")
+    rows = extract.text_lines(read(spark, sf_dir, "documents").select("doc_id", "text"), "text")
     rows = rows.select(F.col("doc_id").alias("doc"), F.lit(1).alias("page"), F.lit(1).alias("table"), line.cast("long").alias("row"), cells.alias("cells"))
     return tables.consolidate_rows(rows).select(F.col("doc").alias("doc_id"), F.col("row").cast("long").alias("row"), F.array_join("cells", "\x01").alias("cells"))
 
@@ -140,13 +140,13 @@ def action_refs(spark, sf_dir):
 
 @query("""
 WITH n AS (SELECT s_suppkey AS doc, CASE s_suppkey % 4 WHEN 0 THEN ['ID do risco', 'Evento', 'Probabilidade', 'Impacto', 'Tratamento', 'Ações'] WHEN 1 THEN ['Col0', 'Col1', 'Col2', 'Col3', 'Col4'] WHEN 2 THEN ['Descrição do risco', 'Probab', 'Severidade', 'Resposta', 'Medidas'] ELSE ['Nº', 'Col1', 'Col2', 'Col3', 'Col4', 'Col5'] END AS h FROM supplier)
-SELECT doc, unnest(['risco', 'probabilidade', 'impacto', 'tratamento', 'acoes']) AS field, unnest(CASE doc % 4 WHEN 0 THEN [1, 2, 3, 4, 5] WHEN 1 THEN [0, 1, 2, 3, 4] WHEN 2 THEN [0, 1, 2, 3, 4] ELSE [NULL, NULL, NULL, NULL, NULL] END) AS col FROM n WHERE doc % 4 < 3
+SELECT doc, unnest(['risco', 'probabilidade', 'impacto', 'tratamento', 'acoes']) AS field, unnest(CASE doc % 4 WHEN 0 THEN [1, 2, 3, 4, 5] WHEN 1 THEN [0, 1, 2, 3, 4] WHEN 2 THEN [0, 1, 2, 3, 4] ELSE [1, 2, 3, 4, 5] END) AS col FROM n
 """)
 def map_risk_columns(spark, sf_dir):
     """TBL10: a risk table's columns by name, by similarity, then by place."""
-    sets = [["ID do risco", "Evento", "Probabilidade", "Impacto", "Tratamento", "Ações"], ["Col0", "Col1", "Col2", "Col3", "Col4"], ["Descrição do risco", "Probab", "Severidade", "Resposta", "Medidas"]]
+    sets = [["ID do risco", "Evento", "Probabilidade", "Impacto", "Tratamento", "Ações"], ["Col0", "Col1", "Col2", "Col3", "Col4"], ["Descrição do risco", "Probab", "Severidade", "Resposta", "Medidas"], ["Nº", "Col1", "Col2", "Col3", "Col4", "Col5"]]
     names = F.array(*[F.array(*map(F.lit, s)) for s in sets])
-    rows = read(spark, sf_dir, "supplier").filter("s_suppkey % 4 < 3").select(F.col("s_suppkey").alias("doc"), F.lit(1).alias("page"), F.lit(1).alias("table"), F.posexplode(F.element_at(names, (F.col("s_suppkey") % 4 + 1).cast("int"))).alias("col", "text"))
+    rows = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc"), F.lit(1).alias("page"), F.lit(1).alias("table"), F.posexplode(F.element_at(names, (F.col("s_suppkey") % 4 + 1).cast("int"))).alias("col", "text"))
     return tables.map_risk_columns(rows).select("doc", "field", "col")
 
 
@@ -201,13 +201,13 @@ _PAIRS_P, _PAIRS_I = ["Alto", "raro", "Médio", "zz", ""], ["Raro", "alto", "1",
 
 @query(f"""
 WITH t AS (SELECT o_orderkey, {pick_sql('o_orderkey', _PAIRS_P)} AS p, {pick_sql('o_orderkey', _PAIRS_I)} AS i FROM orders)
-SELECT o_orderkey, CASE WHEN p IN ('Alto', 'Médio') AND i IN ('Raro', '1', 'raro') THEN i ELSE p END AS probabilidade_original, CASE WHEN p IN ('Alto', 'Médio') AND i IN ('Raro', '1', 'raro') THEN p ELSE i END AS impacto_original FROM t WHERE p <> 'zz'
+SELECT o_orderkey, CASE WHEN p IN ('Alto', 'Médio') AND i IN ('Raro', '1', 'raro') THEN i ELSE p END AS probabilidade_original, CASE WHEN p IN ('Alto', 'Médio') AND i IN ('Raro', '1', 'raro') THEN p ELSE i END AS impacto_original FROM t
 """)
 def swap_detect(spark, sf_dir):
     """EXT1, EXT2, EXT3: swapped columns put right before a risk is written."""
     k = F.col("o_orderkey")
     rows = read(spark, sf_dir, "orders").select(k.alias("doc"), F.lit("r").alias("risco"), pick(k, _PAIRS_P).alias("probabilidade"), pick(k, _PAIRS_I).alias("impacto"), F.lit("mitigar").alias("tratamento"), F.lit("").alias("acoes"))
-    return extract.risk_entries(rows.filter("probabilidade != 'zz'")).select(F.col("doc").alias("o_orderkey"), "probabilidade_original", "impacto_original")
+    return extract.risk_entries(rows).select(F.col("doc").alias("o_orderkey"), "probabilidade_original", "impacto_original")
 
 
 @query(f"""
@@ -236,7 +236,7 @@ def delivery_lines(spark, sf_dir):
 
 @query(f"""
 SELECT p_partkey AS seq, 'Adequação à LGPD' AS produto_normalizado, 'Governança e Gestão de Dados' AS eixo_normalizado, CASE WHEN p_partkey % 8 IN (0, 3) THEN 'concluida' WHEN p_partkey % 8 IN (1, 2) THEN 'cancelada' ELSE 'pactuada' END AS tabela_tipo, '2026-03' AS data_pactuada
-FROM part WHERE {pick_sql('p_partkey', _STATUS)} <> 'outro'
+FROM part
 """)
 def delivery_rows(spark, sf_dir):
     """EXT4: deliveries of table rows."""
@@ -246,7 +246,7 @@ def delivery_rows(spark, sf_dir):
         F.lit("d").alias("doc"), k.alias("seq"), F.array(F.lit("produto")).alias("roles"), F.col("p_name").alias("servico"), F.lit("A) Adequação à LGPD").alias("produto"), F.lit("x").alias("eixo"), F.lit("mar/2026").alias("data_pactuada"),
         F.lit("nan").alias("data_entrega"), empty.alias("pactuado"), empty.alias("justificativa"), pick(k, _STATUS).alias("status"),
     )
-    return extract.delivery_entries(rows.filter("status != 'outro'")).select("seq", "produto_normalizado", "eixo_normalizado", "tabela_tipo", "data_pactuada")
+    return extract.delivery_entries(rows).select("seq", "produto_normalizado", "eixo_normalizado", "tabela_tipo", "data_pactuada")
 
 
 @query("""
@@ -259,6 +259,33 @@ def hybrid_pick(spark, sf_dir):
     return extract.better_reading(rows, "conv_id", "role", {"user": 1, "assistant": 0, "system": 0}).groupBy("conv_id", "role").agg(F.count("*").alias("n"))
 
 
+_RISK_HEADER = ["ID do risco", "Risco", "Probabilidade", "Impacto", "Tratamento", "Ações"]
+#: Documents as (headers, rows) of their tables, one a page.
+_RISK_DOCUMENTS = [
+    [(_RISK_HEADER, [["1", "Atraso", "Raro", "Alto", "Mitigar", "1, 2"], ["2", "Perda", "Alto", "Raro", "Aceitar", ""]]), (["x", "y", "z", "w", "v", "u"], [["Falha do sistema", "Raro", "Alto", "Mitigar", "9", "ele"]])],
+    [(["Perda total de dados", "Raro", "Alto", "Aceitar", "nada"], [["Vazamento", "Provável", "Médio", "Evitar", ""]]), (["p", "q", "r", "s", "t"], [["Greve", "Raro", "Baixo", "Mitigar", ""], ["Risco", "Probabilidade", "", "", ""]])],
+    [(["Col0", "certo]", "Col2", "muito alto]", "Col4", "Col5", "Col6"], [["1", "7", "Incêndio", "Raro", "Alto", "Mitigar", ""], ["2", "8", "Fraude", "Provável", "Alto", "Aceitar", ""]]), (["a", "b", "c", "d"], [["só texto", "", "", ""]])],
+    [(["Órgão", "Sigla", "CNPJ", "x"], [["Nada", "N", "0", ""]])],
+]
+_RISK_TEXT = "Referencial para ações de tratamento\n1. treinar\n2. rever\n9. monitorar\nfim"
+
+
+@query("""
+WITH e(doc, risco_texto, probabilidade_normalizada, impacto_normalizado, tratamento_normalizado, acoes_tratamento, needs_review) AS (VALUES
+  (0, 'Atraso', 'raro', 'alto', 'mitigar', '1. treinar | 2. rever', false), (0, 'Perda', 'raro', 'alto', 'aceitar', '', true), (0, 'Falha do sistema', 'raro', 'alto', 'mitigar', '9. monitorar', false),
+  (1, 'Perda total de dados', 'raro', 'alto', 'aceitar', 'nada', true), (1, 'Vazamento', 'provável', 'médio', 'eliminar', '', false), (1, 'Greve', 'raro', 'baixo', 'mitigar', '', false),
+  (2, 'Incêndio', 'raro', 'alto', 'mitigar', '', false), (2, 'Fraude', 'provável', 'alto', 'aceitar', '', false))
+SELECT s_suppkey AS doc, e.* EXCLUDE (doc) FROM supplier JOIN e ON e.doc = s_suppkey % 4
+""")
+def risk_document_entries(spark, sf_dir):
+    """EXT1 end to end: a six-column continuation, data for a header with a continuation, an orphan with numbers, and a document without risks."""
+    cells = [(d, page, row, col, text) for d, pages in enumerate(_RISK_DOCUMENTS) for page, (headers, rows) in enumerate(pages, 1) for row, line in enumerate([headers, *rows], -1) for col, text in enumerate(line)]
+    fixed = spark.createDataFrame(cells, "kind int, page int, row int, col int, text string").withColumn("table", F.lit(1))
+    docs = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc"), (F.col("s_suppkey") % 4).cast("int").alias("kind"))
+    out = extract.risk_document_entries(docs.join(F.broadcast(fixed), "kind").drop("kind"), docs.select("doc", F.lit(_RISK_TEXT).alias("text")))
+    return out.select("doc", "risco_texto", "probabilidade_normalizada", "impacto_normalizado", "tratamento_normalizado", "acoes_tratamento", "needs_review")
+
+
 # ---- files, schemas, descriptors ----
 
 
@@ -280,7 +307,7 @@ def manifest_files(spark, sf_dir):
     return found.select(F.regexp_replace("name", r"\.parquet$", "").alias("name"), (F.col("bytes") > 0).alias("has_bytes"), F.length("sha256").alias("sha256_length"), F.length("md5").alias("md5_length"))
 
 
-@query("SELECT substring(sha1(string_agg(sha1('{\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}'), '' ORDER BY n_nationkey)), 1, 12) AS fingerprint FROM nation")
+@query("WITH h AS (SELECT sha1('{\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}') AS h, row_number() OVER (ORDER BY n_nationkey) - 1 AS i FROM nation), b AS (SELECT i // 10000 AS b, sha1(string_agg(h, '' ORDER BY i)) AS h FROM h GROUP BY 1) SELECT substring(sha1(string_agg(h, '' ORDER BY b)), 1, 12) AS fingerprint FROM b")
 def fingerprint(spark, sf_dir):
     """HSH1, MET15: one mark of an ordered state."""
     return files.fingerprint(read(spark, sf_dir, "nation"), ["n_name", "n_regionkey"], "n_nationkey")
@@ -360,4 +387,4 @@ def ordinal_scale(spark, sf_dir):
     rows = read(spark, sf_dir, "orders").select("o_orderkey", pick(F.col("o_orderkey"), _LABELS).alias("v"))
     m = match.match_values(rows, "v", vocab.PROBABILITY, vocab.PROBABILITY_ALIASES)
     scale = vocab.vocabulary(spark, vocab.PROBABILITY).withColumnRenamed("canonical", "s_value")
-    return rows.join(F.broadcast(m), F.col("v") == F.col("value")).join(F.broadcast(scale), F.col("canonical") == F.col("s_value")).select("o_orderkey", "canonical", "ordinal")
+    return rows.join(m, F.col("v") == F.col("value")).join(F.broadcast(scale), F.col("canonical") == F.col("s_value")).select("o_orderkey", "canonical", "ordinal")

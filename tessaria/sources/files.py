@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import time
 import urllib.error
@@ -18,6 +19,8 @@ from tessaria.functions import text as tx
 
 #: Politeness and patience of downloads: seconds before each try, tries, seconds to wait for an answer.
 DELAY, TRIES, TIMEOUT = 2, 4, 90
+#: Rows of a fingerprint that are hashed together.
+BLOCK = 10_000
 
 
 def fetch(url: str, opener: Callable | None = None, sleep: Callable[[float], None] = time.sleep, tries: int = TRIES, delay: float = DELAY) -> bytes | None:
@@ -72,8 +75,8 @@ def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
 
 
 def checksums(files: DataFrame) -> DataFrame:
-    """(name, linhas, bytes, md5, sha256) of an inventory."""
-    text = F.decode("content", "UTF-8")
+    """(name, linhas, bytes, md5, sha256) of an inventory of files of any kind; line ends are counted byte by byte."""
+    text = F.decode("content", "ISO-8859-1")
     return files.select("name", tx.line_count(text).alias("linhas"), F.col("length").alias("bytes"), F.md5("content").alias("md5"), F.sha2("content", 256).alias("sha256"))
 
 
@@ -109,6 +112,8 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tessaria-")
         spark.conf.set("spark.checkpoint.dir", root)
     path = f"{root.rstrip('/')}/cut-{uuid.uuid4().hex}"
@@ -134,12 +139,17 @@ def missing_files(present: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame, columns: list[str], order: str) -> DataFrame:
-    """One row: twelve hex digits of the SHA-1 of all rows in order.
+    """One row: twelve hex digits of the SHA-1 of the SHA-1 of every ``BLOCK`` rows in order, each of their rows' SHA-1.
 
-    Rows are hashed first, then the hashes of each order prefix, so no task holds all rows' texts.
+    A task holds the hashes of one block, or one hash for each block.
     """
+    from tessaria.operators.standardize import numbered
+
     row = F.sha1(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
-    return df.select(F.col(order).alias("o"), row.alias("h")).agg(F.substring(F.sha1(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "h"))), lambda x: x.h), "")), 1, 12).alias("fingerprint"))
+    hashes = numbered(df.select(F.col(order).alias("o"), row.alias("h")), "o", "h")
+    joined = lambda at: F.sha1(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at, "h"))), lambda x: x.h), ""))
+    blocks = hashes.groupBy(F.floor(F.col("seq") / BLOCK).alias("block")).agg(joined("seq").alias("h"))
+    return blocks.agg(F.substring(joined("block"), 1, 12).alias("fingerprint"))
 
 
 def archive(path: str, members: dict[str, bytes]) -> None:

@@ -67,3 +67,29 @@ def test_method_buckets(spark):
 
 def test_half_even(spark):
     assert spark.range(1).select(match.half_even(F.lit(0.0625))).first()[0] == 0.062
+
+
+def test_unicode_forms(spark):
+    """Ligatures, letters beyond Latin extended, marks in any order, full-width and circled letters, against the Unicode data."""
+    import unicodedata
+
+    texts = ["Uni\ufb01ca\u00e7\u00e3o", "\u1ea1 \u1ec7 e\u0323\u0302 e\u0302\u0323 a\u0301", "\u212b \u2126", "\u2460\u00bd\ufb03 \uff21\uff42", "plain", "\u03ac \u0439 \u1f04", "e\u0301 e\u0301\u0323"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.composed(F.col("t")).alias("c"), tx.strip_accents(F.col("t")).alias("s")).collect()
+    for r in rows:
+        assert r.c == unicodedata.normalize("NFC", r.t)
+        assert r.s == "".join(x for x in unicodedata.normalize("NFKD", r.t) if not unicodedata.combining(x))
+
+
+def test_sizes_round_half_to_even(spark):
+    sizes = [0, 1023, 1024, 1280, 1331, 1536, 1048575, 1048576, 1310720, 10**9 + 3, *range(1024, 3000, 13)]
+    want = {n: f"{n} B" if n < 1024 else f"{n / 1024:.1f} KB" if n < 1 << 20 else f"{n / (1 << 20):.1f} MB" for n in sizes}
+    got = spark.createDataFrame([(n,) for n in [*sizes, None]], "n long").select("n", tx.size_text(F.col("n")).alias("r")).collect()
+    assert {r.n: r.r for r in got} == want | {None: None}
+
+
+def test_scores_round_as_their_binary_values_do(spark):
+    from tessaria.operators import match
+
+    values = [0.8625, 0.0625, 0.1875, 1.0, 0.0, 1 / 3, *[i / 2000 for i in range(2001)]]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", match.half_even(F.col("v")).alias("r")).collect()
+    assert all(r.r == round(r.v, 3) for r in got)

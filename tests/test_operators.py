@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessaria.functions import vocab
-from tessaria.operators import audit, coverage, dedup, extract, harmonize, metrics, scrape, standardize, tables, variations
+from tessaria.operators import audit, coverage, dedup, extract, harmonize, match, metrics, scrape, standardize, tables, variations
 from tessaria.plans import schema
 from tessaria.sources import files
 from tessaria.streaming import incremental
@@ -225,3 +225,76 @@ def test_numbered_is_gapless(spark):
     rows = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("v")).repartition(7)
     got = standardize.numbered(rows, "v").collect()
     assert sorted((r.v, r.seq) for r in got) == [(i, i) for i in range(1000)]
+
+
+def plain_risk_columns(headers):
+    """A risk table's columns, one header after another."""
+    from difflib import SequenceMatcher
+
+    norm = [match.folded(h) for h in headers]
+    ids = {i for i, h in enumerate(norm) if h in tables.ID_HEADERS or h.startswith("id ")}
+    out = {}
+    for field, words in tables.RISK_COLUMNS.items():
+        best, top = None, 0.0
+        for i, h in enumerate(norm):
+            if field == "risco" and i in ids:
+                continue
+            for w in words:
+                if w in h and max(len(w) / max(len(h), 1), 0.85) > top:
+                    best, top = i, max(len(w) / max(len(h), 1), 0.85)
+            if best is None:
+                near = [r for r in (SequenceMatcher(None, h, w).ratio() for w in words) if r >= 0.65]
+                if near:
+                    best, top = i, max(near)
+        if best is not None:
+            out[field] = best
+    offset = int(len(headers) >= 6 and (0 in ids or norm[0] == "col0"))
+    for at, field in enumerate(tables.RISK_COLUMNS):
+        if field not in out and at + offset < len(headers) and at + offset not in out.values() and at + offset not in ids:
+            out[field] = at + offset
+    return out
+
+
+def test_risk_columns_against_a_plain_version(spark):
+    cases = [
+        ["Coisa", "impct", "impacta", "x"], ["ID do risco", "Evento", "Probab.", "Impacto", "Opção de tratamento", "Ações"], ["Nº", "Col1", "Col2", "Col3", "Col4", "Col5"], ["Risco", "Risco identificado", "Prob", "Severidade", "Medidas"],
+        ["Tratamento", "Resposta ao risco", "Acao", "Classificação de impacto", "Descricao"], ["a", "b", "c", "d"], ["Descrição", "probabildade", "impato", "tratamentos", "acoes", "z"],
+    ]
+    rows = spark.createDataFrame([(str(d), 1, 1, i, h) for d, hs in enumerate(cases) for i, h in enumerate(hs)], "doc string, page int, `table` int, col int, text string")
+    got = {}
+    for r in tables.map_risk_columns(rows).collect():
+        got.setdefault(int(r.doc), {})[r.field] = r.col
+    assert got == {d: plain_risk_columns(hs) for d, hs in enumerate(cases)}
+    assert got[0]["impacto"] == 1
+
+
+def test_risk_documents_end_to_end(spark):
+    from tessaria.plans.table_queries import _RISK_DOCUMENTS, _RISK_TEXT
+
+    more = [(["Perda total de dados", "Raro", "Alto", "Aceitar"], [["Risco X", "Raro", "Baixo", "Mitigar"]]), (["k", "l", "m", "n"], [["Risco Y", "Alto", "Raro", "Mitigar"], [None, "", "", ""]]), (["k", "l", "m"], [["fora", "raro", "alto"]])]
+    docs = [*_RISK_DOCUMENTS, more]
+    cells = [(d, p, 1, row, col, text) for d, pages in enumerate(docs) for p, (headers, rows) in enumerate(pages, 1) for row, line in enumerate([headers, *rows], -1) for col, text in enumerate(line)]
+    texts = spark.createDataFrame([(d, _RISK_TEXT) for d in range(len(docs))], "doc int, text string")
+    out = extract.risk_document_entries(spark.createDataFrame(cells, "doc int, page int, `table` int, row int, col int, text string"), texts)
+    rows = {(r.doc, r.risco_texto): r for r in out.collect()}
+    assert [k for k in sorted(rows)] == sorted([(0, "Atraso"), (0, "Perda"), (0, "Falha do sistema"), (1, "Perda total de dados"), (1, "Vazamento"), (1, "Greve"), (2, "Incêndio"), (2, "Fraude"), (4, "Perda total de dados"), (4, "Risco X"), (4, "Risco Y")])
+    six = rows[0, "Falha do sistema"]  # six columns, first cells no numbers: read from the first column on
+    assert (six.probabilidade_original, six.impacto_original, six.tratamento_original, six.acoes_tratamento) == ("Raro", "Alto", "Mitigar", "9. monitorar")
+    swapped = rows[4, "Risco Y"]
+    assert (swapped.probabilidade_original, swapped.impacto_original) == ("Raro", "Alto") and "swap" in swapped.review_reason
+    assert rows[2, "Fraude"].tratamento_normalizado == "aceitar"  # an orphan of seven columns, numbers first
+    lost = extract.documents_without_entries(texts, out).collect()
+    assert [(r.doc, r.error_type) for r in lost] == [(3, "no_risk_table")]
+
+
+def test_checksums_of_files_that_are_no_text(spark, tmp_path):
+    (tmp_path / "a.bin").write_bytes(b"\xff\n\x00\n\xfe")
+    row = files.checksums(files.inventory(spark, str(tmp_path))).first()
+    assert row.linhas == 3 and row.bytes == 5
+
+
+def test_large_vocabularies_go_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(match, "LARGEST", 2)
+    df = spark.createDataFrame([("abcx",), ("zzzz",), ("",)], "v string")
+    got = {r.value: (r.canonical, r.score) for r in match.match_values(df, "v", ["abcd", "abce", "zzzy", "zzyz", "abcf"]).collect()}
+    assert got == {"abcx": ("abcd", 0.75), "zzzz": ("zzzy", 0.75), "": ("", 0.0)}
