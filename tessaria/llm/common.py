@@ -64,6 +64,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df`` as r0, r1 and so on, so that helper columns may have any other names."""
+    return [F.col("`" + c.replace("`", "``") + "`").alias(f"r{i}") for i, c in enumerate(df.columns)]
+
+
+def named_columns(df: DataFrame) -> list[Column]:
+    """What ``numbered_columns`` made, under their own names."""
+    return [F.col(f"r{i}").alias(c) for i, c in enumerate(df.columns)]
+
+
 def no_clash(df: DataFrame, *names: str) -> dict[str, str]:
     """A name for each helper column that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

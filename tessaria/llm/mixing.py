@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessaria.llm.common import table, text_of
+from tessaria.llm.common import named_columns, numbered_columns, table, text_of
 
 #: Characters in a block, parts that tempered weights are rounded to, and hex digits that split a source for its running sum.
 BLOCK_CHARS, SLOTS, SPLIT_DIGITS = 20_000, 1000, 3
@@ -125,8 +125,9 @@ RESULT = ("m_block", "m_release", "m_deadline", "m_slot", "m_start")
 
 
 def _placed(df: DataFrame, source_col: str, text_col: str, id_col: str, weights: dict | None, block_chars: int, slots: int, temper: float) -> DataFrame:
-    """(row, id, *RESULT): the whole rows of ``df`` as structs, so that no name of theirs meets another."""
-    rows = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), _key(F.col(source_col)).alias("key"), queue_order(id_col).alias("order"), F.length(text_of(text_col)).cast("long").alias("chars"))
+    """The ``numbered_columns`` of ``df``, id, and those of ``RESULT``."""
+    own = [f"r{i}" for i in range(len(df.columns))]
+    rows = df.select(*numbered_columns(df), F.col(id_col).alias("id"), _key(F.col(source_col)).alias("key"), queue_order(id_col).alias("order"), F.length(text_of(text_col)).cast("long").alias("chars"))
     rows = rows.withColumn("part", F.substring("order", 1, SPLIT_DIGITS))
     parts = rows.groupBy(F.col("key").alias("m_key"), F.col("part").alias("m_part")).agg(F.sum("chars").alias("m_chars"))
     before = parts.select("m_key", "m_part", (F.sum("m_chars").over(W.partitionBy("m_key").orderBy("m_part")) - F.col("m_chars")).alias("m_before"))
@@ -136,14 +137,14 @@ def _placed(df: DataFrame, source_col: str, text_col: str, id_col: str, weights:
     placed = (
         rows.withColumn("within", F.sum("chars").over(run) - F.col("chars"))
         .join(before, (F.col("key") == F.col("m_key")) & (F.col("part") == F.col("m_part")))
-        .select("row", "id", "key", (F.col("m_before") + F.col("within")).alias("m_start"))
+        .select(*own, "id", "key", (F.col("m_before") + F.col("within")).alias("m_start"))
         .withColumn("m_block", F.floor(F.col("m_start") / block_chars).cast("long"))
     )
     placed = placed.join(F.broadcast(due), F.col("key") == F.col("d_key"), "left").withColumn("m_in", F.col("m_block") % F.col("d_due"))
     placed = placed.join(F.broadcast(plan), (F.col("key") == F.col("m_key")) & (F.col("m_in") == F.col("m_no")), "left")  # at most PERIOD + sources rows
     base = F.expr("m_block div m_due") * F.col("m_period")
     return placed.select(
-        "row",
+        *own,
         "id",
         "m_block",
         (base + F.floor(F.col("m_no") * F.col("m_period") / F.col("m_due"))).alias("m_release"),
@@ -153,10 +154,6 @@ def _placed(df: DataFrame, source_col: str, text_col: str, id_col: str, weights:
     )
 
 
-def _whole_row(df: DataFrame) -> list[Column]:
-    return [F.col("row")[c].alias(c) for c in df.columns]
-
-
 def mix(
     df: DataFrame,
     source_col: str = "source",
@@ -178,7 +175,7 @@ def mix(
     split by digest prefix, so that no task holds more than 16 ** -SPLIT_DIGITS of a source.
     """
     placed = _placed(df, source_col, text_col, id_col, weights, block_chars, slots, temper)
-    return placed.select(*[c for c, name in zip(_whole_row(df), df.columns, strict=True) if name.lower() not in RESULT], *RESULT)
+    return placed.select(*[c for c, name in zip(named_columns(df), df.columns, strict=True) if name.lower() not in RESULT], *RESULT)
 
 
 def mixed_order(
@@ -196,7 +193,7 @@ def mixed_order(
     Rows without a slot come last; nulls, empty texts, ties, repeated rows and empty tables are as in ``mix``.
     """
     placed = _placed(df, source_col, text_col, id_col, weights, block_chars, slots, temper)
-    return placed.orderBy(F.asc_nulls_last("m_slot"), "m_start", "id").select(*_whole_row(df))
+    return placed.orderBy(F.asc_nulls_last("m_slot"), "m_start", "id").select(*named_columns(df))
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
