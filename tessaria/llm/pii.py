@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaria.llm.common import LOWER, UPPER, ascii_lower, stored, table, text_of
+from tessaria.llm.common import LOWER, UPPER, ascii_lower, named_columns, numbered_columns, stored, table, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Java patterns: possessive, so they neither backtrack nor recurse, and anchored so that no start is tried inside a run; they find the same as SQL_PATTERNS.
@@ -159,11 +159,12 @@ OWN = ("n_email", "n_ip", "n_card", "n_phone", "base", "terms")
 
 
 def _found(df: DataFrame, text_col: str) -> DataFrame:
-    """(row, text, *OWN): the whole rows of ``df`` as structs, so that no name of theirs meets another."""
-    rows = df.select(F.struct("*").alias("row"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("nr"))
-    rows = rows.select("*", *[_kind_spans(F.col("text"), k).alias(k) for k in KINDS])
-    rows = rows.select("row", "text", "nr", F.array_sort(F.concat(*KINDS)).alias("base"), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS])
-    rows = stored(rows.withColumn("context", F.when(F.size("base") > 0, _context(F.col("text"), F.col("base")))), "identifiers")
+    """The ``numbered_columns`` of ``df`` and those of ``OWN``."""
+    own, text = [f"r{i}" for i in range(len(df.columns))], F.coalesce(F.col(f"r{df.columns.index(text_col)}"), F.lit(""))
+    rows = df.select(*numbered_columns(df), F.monotonically_increasing_id().alias("nr"))
+    rows = rows.select("*", *[_kind_spans(text, k).alias(k) for k in KINDS])
+    rows = rows.select(*own, "nr", F.array_sort(F.concat(*KINDS)).alias("base"), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS])
+    rows = stored(rows.withColumn("context", F.when(F.size("base") > 0, _context(text, F.col("base")))), "identifiers")
     entities = F.array_distinct(F.transform("base", lambda x: x.entity))
     context = rows.select(F.explode("context").alias("c")).select("c.*")  # each once a document
     pairs = stored(context.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= SUPPORT), "pairs")
@@ -183,15 +184,18 @@ def _found(df: DataFrame, text_col: str) -> DataFrame:
     )
     few = telling.count() <= BROADCAST_TERMS
     # from a document's words to what they tell of, then only to what it holds: an entity that many documents hold is never joined by itself
-    words = rows.filter(F.size("base") > 0).select("nr", F.explode(_words(F.col("text"))).alias("term"))
+    words = rows.filter(F.size("base") > 0).select("nr", F.explode(_words(text)).alias("term"))
     told = words.join(F.broadcast(telling) if few else telling, "term").join(holders, ["nr", "entity"])
     marks = told.groupBy("nr", "term").agg(F.max("treatment").alias("treatment")).groupBy(F.col("nr").alias("m_nr")).agg(F.map_from_entries(F.collect_list(F.struct("term", "treatment"))).alias("marks"))
-    placed = rows.join(marks, F.col("nr") == F.col("m_nr"), "left")
-    return placed.select("row", "text", *OWN[:-1], F.when(F.col("marks").isNull(), F.array().cast(NOTHING)).otherwise(_places(F.col("text"), F.col("marks"))).alias("terms"))
+    none = F.array().cast(NOTHING)
+    # texts without an identifier hold no term, and are not shuffled
+    placed = rows.filter(F.size("base") > 0).join(marks, F.col("nr") == F.col("m_nr"), "left")
+    placed = placed.select(*own, *OWN[:-1], F.when(F.col("marks").isNull(), none).otherwise(_places(text, F.col("marks"))).alias("terms"))
+    return placed.unionByName(rows.filter(F.size("base") == 0).select(*own, *OWN[:-1], none.alias("terms")))
 
 
 def _with_row(df: DataFrame, found: DataFrame, *more: Column) -> DataFrame:
-    return found.select(*[F.col("row")[c].alias(c) for c in df.columns if c.lower() not in OWN], *OWN, *more)
+    return found.select(*[c for c, name in zip(named_columns(df), df.columns, strict=True) if name.lower() not in OWN], *OWN, *more)
 
 
 def find(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -207,7 +211,7 @@ def find(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 def sanitise(df: DataFrame, text_col: str = "text", out_col: str = "sanitised") -> DataFrame:
     """``find`` with the text in which identifiers and removed terms are replaced by their kind, generalised terms by their first letter."""
-    found, text = _found(df, text_col), F.col("text")
+    found, text = _found(df, text_col), F.coalesce(F.col(f"r{df.columns.index(text_col)}"), F.lit(""))
     mark = "struct<s:int,e:int,put:string>"
     base = F.transform("base", lambda x: F.struct(x.s.alias("s"), x.e.alias("e"), F.concat(F.lit("["), x.kind, F.lit("]")).alias("put")))
     terms = F.transform("terms", lambda x: F.struct(x.s.alias("s"), x.e.alias("e"), F.when(x.treatment == "remove", F.lit("[term]")).otherwise(F.concat(F.substring(text, x.s + 1, F.lit(1)), F.lit("."))).alias("put")))
