@@ -345,7 +345,7 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     one stays; null ids come after all others. An empty table stays empty. Columns of ``df`` may
     have any names.
     """
-    n = no_clash(df, "row")
+    n = no_clash(df, "row", "keep")
     rows = stored(df.withColumn(n["row"], F.monotonically_increasing_id()), "rows")
     # rows of equal texts are one node, named by its smallest row number
     own_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row"))
@@ -354,5 +354,5 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     links = near_links(nodes.drop("same"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
     roots = components(links, "a", "b")
     grouped = keyed.join(nodes.select("same", F.col("node").alias("rep")), "same").select("own", "rep").join(roots, F.col("rep") == F.col("node"), "left")
-    least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias("keep_row"))
-    return rows.join(least, F.col(n["row"]) == F.col("keep_row"), "left_semi").select(*df.columns)
+    least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias(n["keep"]))
+    return rows.join(least, F.col(n["row"]) == F.col(n["keep"]), "left_semi").select(*df.columns)

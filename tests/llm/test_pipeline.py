@@ -47,7 +47,7 @@ def test_windows_hold_the_target_weights_in_the_order_of_the_mix(spark, document
     rows = documents(["word " * 600] * 240, sources=["big" if i % 8 else "small" for i in range(240)])
     targets = mixing.target_weights(rows)
     shares = {k: v / sum(targets.values()) for k, v in targets.items()}
-    assert abs(shares["small"] - 1 / (1 + 7**0.5)) < 1e-6
+    assert abs(shares["small"] - 1 / (1 + 7**0.5)) < 1e-3  # whole thousandths
     out = corpus_pipeline.pack_stage(spark, corpus_pipeline.mix_stage(spark, rows, ""), "").collect()
     windows = int(30 * 601 / 4096 / shares["small"]) - 1  # until the small source runs low
     assert windows > 5

@@ -152,7 +152,8 @@ def test_covering_tables_seed_the_stage(documents, monkeypatch):
 
 def test_stage_on_odd_rows(documents):
     rows = documents(ODD + ["only here"], [None, None, 3, 4, 4, 5, 6, 7, 8, 9])
-    out = s.drop_near_duplicates(rows).collect()
+    clashing = rows.withColumns({"keep_row": rows.doc_id, "row": rows.text, "node": rows.source})
+    out = s.drop_near_duplicates(clashing).collect()
     assert len(out) == 6  # blanks are alike, three spellings are alike
     assert s.drop_near_duplicates(rows.limit(0)).count() == 0 and s.near_groups(rows.limit(0)).count() == 0
 
