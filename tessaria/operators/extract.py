@@ -12,6 +12,7 @@ from tessaria.operators import audit, match, tables
 from tessaria.sources import files
 
 MONTH = rf"^(?:{'|'.join(tx.MONTHS)})"
+DELIVERY_ROLES = ("servico", "produto", "eixo", "data_pactuada", "data_entrega", "pactuado", "justificativa", "status")
 
 
 def _cell(row: Column, col: Column) -> Column:
@@ -142,9 +143,9 @@ def delivery_entries(rows: DataFrame) -> DataFrame:
     """Delivery entries of table rows (doc, seq, roles: array, servico, produto, eixo, data_pactuada, data_entrega, pactuado, justificativa, status).
 
     A row needs a product from 0.85 on, or the catch-all; the axis is the product's own, else one
-    matched from 0.80 on.
+    matched from 0.80 on. A row that is ``recovered`` (optional), a header in place of data, is to be reviewed.
     """
-    r = rows.withColumns({c: _cell(F.array(F.col(c)), F.lit(0)) for c in ("servico", "produto", "eixo", "data_pactuada", "data_entrega", "pactuado", "justificativa", "status")})
+    r = rows.withColumns({c: _cell(F.array(F.col(c)), F.lit(0)) for c in DELIVERY_ROLES})
     r = r.filter((F.col("produto") != "") & ~tx.is_literal(F.col("produto"), tx.DELIVERY_HEADERS))
     r = _with_matches(r, "produto", "eixo")
     other = tx.is_other(F.col("produto"))
@@ -154,6 +155,8 @@ def delivery_entries(rows: DataFrame) -> DataFrame:
     own = F.element_at(F.create_map(*[F.lit(x) for kv in vocab.PRODUCT_AXIS.items() for x in kv]), name)
     date = lambda c: tx.parse_date(F.when(~F.lower(c).isin("dtpactuada", "dtentrega"), F.col(c)))
     text = lambda c, n=500: F.when(F.col(c) != "", F.substring(c, 1, n))
+    recovered = F.col("recovered") if "recovered" in rows.columns else F.lit(False)
+    confidence, review, reason = _delivery_marks(other, True)
     return r.select(
         "doc", "seq", tables.table_type(F.col("status"), F.col("roles")).alias("tabela_tipo"),
         F.when(tx.key(F.col("servico")).isin("servico/acao", "servico", "servico /acao"), "").otherwise(F.substring("servico", 1, 250)).alias("servico_acao"),
@@ -161,10 +164,98 @@ def delivery_entries(rows: DataFrame) -> DataFrame:
         F.when(F.lower("eixo") == "eixo", "").otherwise(F.col("eixo")).alias("eixo_original"),
         F.coalesce(own, F.when(F.col("em.score") >= 0.80, F.col("em.canonical")), F.lit("")).alias("eixo_normalizado"),
         date("data_pactuada").alias("data_pactuada"), date("data_entrega").alias("data_entrega"), text("pactuado").alias("pactuado"), text("justificativa").alias("justificativa"),
-        *_delivery_marks(other, True),
+        F.when(recovered, "medium").otherwise(confidence).alias("extraction_confidence"), (review | recovered).alias("needs_review"),
+        F.when(recovered, "recuperado de header multi-página").otherwise(reason).alias("review_reason"),
     )
 
 
+def _products(cells: DataFrame) -> DataFrame:
+    """The cells that are a product or the catch-all; each text is matched once."""
+    texts = cells.select("text").distinct()
+    known = match.match_values(texts, "text", vocab.ALL_PRODUCTS, vocab.PRODUCT_ALIASES, (1.0, 0.98), by_key=False)
+    known = known.filter((F.col("score") >= vocab.ACCEPT) | tx.is_other(F.col("value"))).select(F.col("value").alias("p_value"))
+    return cells.join(known, F.col("text") == F.col("p_value"), "left_semi")
+
+
+def delivery_rows(cells: DataFrame) -> DataFrame:
+    """Rows of all delivery tables, as ``delivery_entries`` takes them, with page, table, row and recovered.
+
+    ``cells`` has (doc, page, table, row, col, text), row -1 being the header; tables of under three
+    columns or without rows are left out. In page order a header with a product, or with a service
+    and one more role, sets the columns for its own and later tables. Until there is one, the first
+    table whose first row names roles sets them (that row is no data), or else whose cells hold a
+    product: the service stands before it, the axis after. Later tables are read by the names of
+    these columns, or by the usual places (service, product, axis, then the date in the fifth column,
+    or in the fourth of four) if the product's name is not among theirs. Where such a table has as
+    many columns as there are roles and a product second in its header, that header is an entry (row -1).
+    """
+    text = F.coalesce("text", F.lit(""))
+    lines = cells.groupBy(*tables.TABLE, F.col("row").cast("long").alias("row")).agg(F.transform(F.array_sort(F.collect_list(F.struct("col", text.alias("text")))), lambda x: x["text"]).alias("cells"))
+    names = F.transform("cells", lambda c, i: F.when(tx.stripped(c) == "", F.concat(F.lit("Col"), i.cast("string"))).otherwise(c))
+    heads = lines.filter("row = -1").select(*tables.TABLE, names.alias("headers"))
+    body = lines.filter("row >= 0")
+    firsts = body.groupBy(*tables.TABLE).agg(F.min_by("cells", "row").alias("first_row"), F.min("row").alias("first_at"))
+    hits = _products(cells.select(*tables.TABLE, F.col("row").cast("long").alias("row"), F.col("col").cast("int").alias("col"), "text"))
+    hits = hits.groupBy(*tables.TABLE, "row").agg(F.min(F.struct("col", "text")).alias("hit"), F.max(F.col("col") == 1).alias("second"))
+    found = hits.groupBy(*tables.TABLE).agg(F.min(F.when(F.col("row") >= 0, F.struct("row", "hit"))).alias("found"), F.max(F.when(F.col("row") == -1, F.col("second"))).alias("in_header"))
+    t = heads.join(firsts, list(tables.TABLE)).join(found, list(tables.TABLE), "left").withColumn("ncols", F.size("headers")).filter("ncols >= 3")
+
+    def roles(texts: str) -> Column:
+        each = F.filter(F.transform(texts, lambda c, i: F.struct(tables.column_role(c).alias("role"), i.alias("col"), F.get(F.col("headers"), i).alias("name"))), lambda x: x.role.isNotNull())
+        start = F.array().cast("array<struct<role:string,col:int,name:string>>")
+        return F.aggregate(each, start, lambda acc, x: F.when(F.exists(acc, lambda y: y.role == x.role), acc).otherwise(F.concat(acc, F.array(x))))
+
+    at = F.col("found.hit.col")
+    near = F.filter(
+        F.array(*[F.struct(F.lit(r).alias("role"), (at + d).alias("col"), F.get(F.col("headers"), F.greatest(at + d, F.lit(0))).alias("name")) for r, d in (("produto", 0), ("servico", -1), ("eixo", 1))]),
+        lambda x: (x.col >= 0) & (x.col < F.col("ncols")),
+    )
+    t = t.withColumns({"by_head": roles("headers"), "by_row": roles("first_row")})
+    has = lambda name: F.exists("by_head", lambda x: x.role == name)
+    t = t.withColumn("by_head", F.when(has("produto") | (has("servico") & (F.size("by_head") >= 2)), F.col("by_head")))
+    t = t.withColumn("guess", F.when(F.size("by_row") > 0, F.struct(F.col("by_row").alias("map"), F.lit(True).alias("from_row"))).when(F.col("found").isNotNull(), F.struct(near.alias("map"), F.lit(False).alias("from_row"))))
+    order = W.partitionBy("doc").orderBy("page", "table")
+    so_far, before = order.rowsBetween(W.unboundedPreceding, W.currentRow), order.rowsBetween(W.unboundedPreceding, -1)
+    t = t.withColumns({f"{k}_{n}": f(c, ignorenulls=True).over(w) for n, w in (("now", so_far), ("before", before)) for k, f, c in (("head", F.last, "by_head"), ("guess", F.first, "guess.map"))})
+    known = F.coalesce("head_before", "guess_before")
+    t = t.withColumns({"map": F.coalesce("head_now", "guess_now"), "own": F.col("by_head").isNotNull() | known.isNull(), "carried": known})
+    t = t.filter(F.col("map").isNotNull())
+    first_text = tx.normalize_text(F.get("headers", F.lit(0)))
+    t = t.withColumn("recovers", ~F.col("own") & (F.size("carried") == F.col("ncols")) & F.coalesce("in_header", F.lit(False)) & ~F.lower(first_text).isin("nan", "none", ""))
+    t = t.withColumn("skips", F.when(F.col("own") & F.col("by_head").isNull() & F.col("guess.from_row"), F.col("first_at")))
+    product = F.get(F.filter("map", lambda x: x.role == "produto"), F.lit(0))
+    t = t.withColumn("placed", ~F.col("own") & product["name"].isNotNull() & ~F.array_contains("headers", product["name"]))
+
+    def place(role: str) -> Column:
+        own = F.get(F.filter("map", lambda x: x.role == role), F.lit(0))
+        named = F.when(F.col("own"), own["col"]).otherwise(F.nullif(F.array_position("headers", own["name"]).cast("int"), F.lit(0)) - 1)
+        usual = {"servico": F.lit(0), "produto": F.lit(1), "eixo": F.lit(2), "data_pactuada": F.when(F.col("ncols") >= 5, 4).when(F.col("ncols") == 4, 3)}
+        return F.coalesce(F.when(F.col("placed"), usual[role]), named) if role in usual else named
+
+    state = t.select(*tables.TABLE, "headers", "ncols", "skips", "recovers", F.transform("map", lambda x: x.role).alias("roles"), *[place(r).alias(f"at_{r}") for r in DELIVERY_ROLES])
+    value = lambda r: F.coalesce(F.get("cells", F.col(f"at_{r}")), F.lit(""))
+    read = body.join(state.drop("headers"), list(tables.TABLE)).filter(F.col("skips").isNull() | (F.col("row") != F.col("skips"))).join(hits.drop("second"), [*tables.TABLE, "row"], "left")
+    named = tx.stripped(F.lower(tx.normalize_text(value("produto"))))
+    own_product = F.when(named.isin("", "nan", "none", "produto", "produto ptd"), F.col("hit.text")).otherwise(value("produto"))
+    read = read.select(*tables.TABLE, "row", "roles", F.lit(False).alias("recovered"), *[(own_product if r == "produto" else value(r)).alias(r) for r in DELIVERY_ROLES])
+    # what a header in place of data holds, by the usual places
+    at = {"servico": 0, "produto": 1, "eixo": 2, "data_pactuada": 4}
+    head = state.filter("recovers").select(*tables.TABLE, F.lit(-1).cast("long").alias("row"), F.array().cast("array<string>").alias("roles"), F.lit(True).alias("recovered"), *[(F.coalesce(F.get("headers", F.lit(at[r])), F.lit("")) if r in at else F.lit("")).alias(r) for r in DELIVERY_ROLES])
+    return read.unionByName(head).withColumn("seq", F.struct("page", "table", "row"))
+
+
+def delivery_document_entries(cells: DataFrame, lines: DataFrame) -> DataFrame:
+    """Delivery entries of documents, end to end, with method (tables or text): of each document the reading with more entries, tables if they are as many.
+
+    ``cells`` has (doc, page, table, row, col, text), row -1 being the header; ``lines`` (doc, page, line, text).
+    """
+    # rows are written once, not computed again for each field that is matched
+    tabular = delivery_entries(files.cut(delivery_rows(cells))).withColumn("method", F.lit("tables"))
+    textual = delivery_lines(lines, ["doc", "page"]).withColumn("method", F.lit("text"))
+    tabular = tabular.withColumns({"page": F.col("seq.page"), "table": F.col("seq.table"), "row": F.col("seq.row")}).drop("seq")
+    return better_reading(tabular.unionByName(textual.withColumnRenamed("line", "row"), allowMissingColumns=True), "doc", "method", {"tables": 1, "text": 0})
+
+
 def neighbours(lines: DataFrame, by: list[str], ahead: int = 4) -> DataFrame:
     """``lines`` (line, text) with prev, and next_1 to next_{ahead}, within ``by``."""
     w = W.partitionBy(*by).orderBy("line")

@@ -286,6 +286,34 @@ def risk_document_entries(spark, sf_dir):
     return out.select("doc", "risco_texto", "probabilidade_normalizada", "impacto_normalizado", "tratamento_normalizado", "acoes_tratamento", "needs_review")
 
 
+_NAMED = ["Serviço", "Produto", "Eixo", "Data Pactuada"]
+#: Documents as (headers, rows) of their tables, one a page, and their text.
+_DELIVERY_DOCUMENTS = [
+    ([(_NAMED, [["Portal", "Adequação à LGPD", "e", "mar/2026"], _NAMED]), (["App", "Integração ao Login Único", "Canais", "mai/2026"], [["Balcão", "Outros", "", "jun/25"]])], []),
+    ([(["Col0", "Col1", "Col2", "Col3"], [["Serviço", "Produto", "Eixo", "Prazo"], ["Portal", "Integração ao Login Único", "x", "12/2025"]]), (["Col0", "Col1", "Col2", "Col3"], [["App", "nan", "Adequação à LGPD", "mar/2026"]])], []),
+    ([(["a", "b", "c"], [["nada", "zzz", "yyy"], ["Sistema", "Outros", "q"]]), (["k", "l", "m", "n", "o"], [["Guia", "Adequação à LGPD", "w", "DTI", "mar/2026"]]), (["x", "y"], [["Integração ao Login Único", "z"]])], ["Integração ao Login Único"]),
+    ([], ["Sistema de protocolo", "Integração ao Login Único", "Segurança e Privacidade", "jun/25"]),
+]
+
+
+@query("""
+WITH e(doc, page, "row", method, servico_acao, produto_normalizado, eixo_normalizado, data_pactuada, needs_review, review_reason) AS (VALUES
+  (0, 1, 0, 'tables', 'Portal', 'Adequação à LGPD', 'Governança e Gestão de Dados', '2026-03', false, NULL), (0, 2, -1, 'tables', 'App', 'Integração ao Login Único', 'Unificação de Canais Digitais', NULL, true, 'recuperado de header multi-página'),
+  (0, 2, 0, 'tables', 'Balcão', 'Outros', 'Projetos Especiais', '2025-06', true, 'produto Outros'), (1, 1, 1, 'tables', 'Portal', 'Integração ao Login Único', 'Unificação de Canais Digitais', '2025-12', false, NULL),
+  (1, 2, 0, 'tables', 'App', 'Adequação à LGPD', 'Governança e Gestão de Dados', '2026-03', false, NULL), (2, 1, 1, 'tables', 'Sistema', 'Outros', 'Projetos Especiais', NULL, true, 'produto Outros'),
+  (2, 2, 0, 'tables', 'Guia', 'Adequação à LGPD', 'Governança e Gestão de Dados', '2026-03', false, NULL), (3, 1, 1, 'text', 'Sistema de protocolo', 'Integração ao Login Único', 'Unificação de Canais Digitais', '2025-06', false, NULL))
+SELECT s_suppkey AS doc, e.* EXCLUDE (doc) FROM supplier JOIN e ON e.doc = s_suppkey % 4
+""")
+def delivery_document_entries(spark, sf_dir):
+    """EXT4, EXT6, TBL13 end to end: carried columns, a header in place of data, names in the first row, columns found by a product, and a document of text alone."""
+    cells = [(d, page, 1, row, col, text) for d, (pages, _) in enumerate(_DELIVERY_DOCUMENTS) for page, (headers, rows) in enumerate(pages, 1) for row, line in enumerate([headers, *rows], -1) for col, text in enumerate(line)]
+    lines = [(d, 1, i, text) for d, (_, texts) in enumerate(_DELIVERY_DOCUMENTS) for i, text in enumerate(texts)]
+    docs = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("doc"), (F.col("s_suppkey") % 4).cast("int").alias("kind"))
+    of = lambda rows, kind: docs.join(F.broadcast(spark.createDataFrame(rows, kind)), "kind").drop("kind")
+    out = extract.delivery_document_entries(of(cells, "kind int, page int, table int, row int, col int, text string"), of(lines, "kind int, page int, line int, text string"))
+    return out.select("doc", "page", F.col("row").cast("int").alias("row"), "method", "servico_acao", "produto_normalizado", "eixo_normalizado", "data_pactuada", "needs_review", "review_reason")
+
+
 # ---- files, schemas, descriptors ----
 
 
