@@ -267,6 +267,40 @@ def header_acronyms(spark, sf_dir):
     return scrape.first_per_set(rows, "siglas", "p_partkey").select("p_partkey", F.array_join("siglas", ",").alias("siglas"))
 
 
+_LISTING = """
+SELECT c_custkey AS k, c_custkey // 50 AS page, CASE c_custkey % 11 WHEN 0 THEN 'MEC' WHEN 1 THEN 'CAPES' ELSE 'S' || (c_custkey % 13) END AS s1, 'T' || (c_custkey % 4) || (c_custkey % 3) AS s2,
+ CASE c_custkey % 4 WHEN 0 THEN 'https://host/m/' || c_custkey || '-a.pdf' WHEN 1 THEN 'https://host/m/' || c_custkey || '-diretiv.pdf' ELSE 'https://host/m/' || c_custkey || '-u1.pdf' END AS d,
+ CASE c_custkey % 4 WHEN 0 THEN 'http://other/m/' || c_custkey || '-b.PDF' WHEN 1 THEN 'https://host/m/' || c_custkey || '-entregas.pdf' WHEN 3 THEN 'https://host/m/' || c_custkey || '-u&2.pdf' END AS e
+FROM customer WHERE c_custkey % 5 <> 4"""
+
+
+@query(f"""
+WITH c AS ({_LISTING}), n AS (SELECT *, 'Plano de Transformação Digital ' || s1 || ' / ' || s2 || ' :' AS nome FROM c QUALIFY row_number() OVER (PARTITION BY page, s1, s2 ORDER BY k) = 1),
+x AS (SELECT page, k, 0 AS i, s1 AS sigla, nome, d, e FROM n UNION ALL SELECT page, k, 1, s2, nome, d, e FROM n),
+f AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY page, sigla ORDER BY k, i) = 1),
+g(member, head) AS (VALUES ('CAPES', 'MEC'), ('INEP', 'MEC'), ('S1', 'S2'), ('T99', 'S99')),
+h AS (SELECT page, member, nome, d, e FROM f JOIN g ON sigla = head),
+o AS (SELECT coalesce(f.page, h.page) AS page, coalesce(sigla, member) AS sigla, coalesce(f.nome, h.nome) AS nome_completo, coalesce(f.d, h.d) AS url_diretivo, coalesce(f.e, h.e) AS url_entregas FROM f FULL JOIN h ON f.page = h.page AND sigla = member)
+SELECT o.*, head AS grupo FROM o LEFT JOIN g ON sigla = member
+""")
+def organ_listing(spark, sf_dir):
+    """SRC2, SCR1-7, GRP1, GRP2: listing pages read as a whole, titles with the links of the element around them."""
+    k = F.col("c_custkey")
+    s1 = F.when(k % 11 == 0, "MEC").when(k % 11 == 1, "CAPES").otherwise(F.concat(F.lit("S"), k % 13))
+    names = F.concat(s1, F.lit(" / T"), k % 4, k % 3)
+    title = F.when(k % 5 == 4, F.concat(F.lit("<b>Outro plano "), names, F.lit(":</b>"))).when(k % 2 == 0, F.concat(F.lit("<strong>Plano de Transformação <em>Digital</em>\n "), names, F.lit("<br/> : </strong>")))
+    title = title.otherwise(F.concat(F.lit("<B class='x'><b>Plano de Transforma&ccedil;&atilde;o Digital "), names, F.lit("</b> :</B>")))
+    link = lambda end, anchor, q='"', at="/m/": F.concat(F.lit(f"<a x=1 href={q}{at}"), k, F.lit(f"{end}{q}>{anchor}</a> / "))
+    links = F.when(k % 4 == 0, F.concat(link("-a.pdf", "Documento <i>Diretivo</i>"), link("-b.PDF", "Anexo de Entregas", "'", "http://other/m/")))
+    links = links.when(k % 4 == 1, F.concat(link("-entregas.pdf", "Arquivo"), link("-diretiv.pdf", "Arquivo")))
+    links = links.when(k % 4 == 2, F.concat(link("-u1.pdf", "um"), link("-e.pdf", "Entregas", at="/no/"), link(".html", "Entregas"), F.lit("<a name=x>Entregas.pdf</a><!-- <a href='/m/x.pdf'>Entregas</a> -->")))
+    links = links.otherwise(F.concat(link("-u1.pdf", "um"), link("-u&amp;2.pdf", "dois")))
+    cell = F.concat(F.lit("<td><p></i>"), title, links, F.lit("<script>'<b>Transformação Digital</b>'</script></td>"))
+    cells = read(spark, sf_dir, "customer").select(F.floor(k / 50).alias("page"), k.alias("k"), cell.alias("cell"))
+    pages = cells.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "cell"))), lambda x: x.cell), "\n").alias("html"))
+    return scrape.organ_listing(pages, "page", host="https://host", markers=("/m/", "/n/"), groups={"MEC": ["MEC", "CAPES", "INEP"], "S2": ["S1"], "S99": ["T99"]})
+
+
 @query("SELECT conv_id, turn, role, md5(text) AS md5 FROM conversations QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn, md5(text)) = 1")
 def first_per_key(spark, sf_dir):
     """SCR7: the first turn of each conversation."""

@@ -35,6 +35,6 @@ def test_every_query_has_sql():
     assert set(catalog.QUERIES) == set(catalog.ORACLES) and len(catalog.QUERIES) > 60
 
 
-@pytest.mark.parametrize("name", ["coverage_status", "shared_file_owner", "normalize_text", "parse_date_mixed", "slot_fill", "harmonize_cell", "variations_long", "consolidate_blocks", "carry_headers", "delivery_document_entries", "fuzzy_best"])
+@pytest.mark.parametrize("name", ["coverage_status", "shared_file_owner", "normalize_text", "parse_date_mixed", "slot_fill", "organ_listing", "header_acronyms", "first_per_key", "validation_report", "harmonize_cell", "variations_long", "consolidate_blocks", "carry_headers", "delivery_document_entries", "fuzzy_best"])
 def test_against_sql(spark, duck, name):
     assert same(spark, duck, catalog.QUERIES[name], catalog.ORACLES[name])
