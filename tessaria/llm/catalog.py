@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, langid, license_scan, media, mixing, packing, pii, quality, secrets, simhash
+from tessaria.llm import exact_dedup, langid, license_scan, media, merkle, mixing, packing, pii, quality, secrets, simhash
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_language_id": langid.op9_language_id,
     "op10_secret_scan": secrets.op10_secret_scan,
+    "op11_merkle": merkle.op11_merkle,
 }
 
 ORACLES = {
@@ -22,4 +23,5 @@ ORACLES = {
     "op1_license_scan": license_scan.SQL,
     "op3_mix_sources": mixing.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
+    "op11_merkle": merkle.SQL,
 }
