@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, langid, license_scan, media, merkle, mixing, packing, pii, quality, secrets, simhash
+from tessaria.llm import exact_dedup, langid, license_scan, media, merkle, mixing, packing, pii, quality, secrets, simhash, whitening
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_language_id": langid.op9_language_id,
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_merkle": merkle.op11_merkle,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 ORACLES = {

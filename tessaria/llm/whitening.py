@@ -15,6 +15,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +42,7 @@ def usable(df: DataFrame, vec_col: str) -> DataFrame:
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     """The vectors of a batch as whole numbers, a row each."""
-    flat = pa.compute.cast(column.flatten(), pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dims)
+    flat = pc.cast(column.flatten(), pa.float64()).to_numpy(zero_copy_only=False).reshape(-1, dims)
     return np.floor(UNITS * flat).astype(np.int64) + OFFSET
 
 
