@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessaria.llm import exact_dedup, langid, license_scan, media, merkle, mixing, packing, pii, quality, secrets, simhash, whitening
+from tessaria.llm import exact_dedup, langid, license_scan, media, merkle, minhash, mixing, packing, pii, quality, secrets, simhash, whitening
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_secret_scan": secrets.op10_secret_scan,
     "op11_merkle": merkle.op11_merkle,
     "op12_whitening": whitening.op12_whitening,
+    "op13_minhash": minhash.op13_minhash,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op3_mix_sources": mixing.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
     "op11_merkle": merkle.SQL,
+    "op13_minhash": minhash.SQL,
 }

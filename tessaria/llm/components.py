@@ -1,10 +1,10 @@
 """Connected components by alternating large-star and small-star steps.
 
 Every step is a grouped minimum and a join; each round is written to the shared folder, which
-cuts the lineage. The minima are written before they are joined: both sides of the join are then
-plain shuffles, and adaptive execution can split the links of a large component's root, which it
-could not if the minima came straight from their aggregate. Nothing is gathered on the driver but
-one count and one checksum a round.
+cuts the lineage. Both sides of each join are written before they are joined: both are then plain
+shuffles, and adaptive execution can split the links of a large component's root, whether its id is
+the smallest or the largest, which it could not if minima came straight from their aggregate.
+Nothing is gathered on the driver but one count and one checksum a round.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         last = state
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).filter("hi != lo").distinct()
+        large = stored(both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).filter("hi != lo").distinct(), "large")
         # nodes that only have smaller neighbours keep their links to them through the neighbours' side above
-        tops = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        tops = stored(large.groupBy("hi").agg(F.min("lo").alias("m")), "tops")
         small = large.join(tops, "hi").filter("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         edges = stored(small.unionByName(tops.select("hi", F.col("m").alias("lo"))).distinct(), "edges")

@@ -19,34 +19,25 @@ leave apart goes on to an exact prefix join, so that no pair is lost.
 
 from __future__ import annotations
 
-from fractions import Fraction
-from functools import lru_cache
-
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessaria.llm.common import no_clash, shared_dir, stored, table, text_of
 from tessaria.llm.components import components
+from tessaria.llm.linking import Likeness, connect, few, parity, shared_keys, shingles
 
 BITS, RADIUS, SEED = 64, 3, 42
 #: The largest bucket whose members are compared; larger ones are covered again.
 LIMIT = 128
-#: In the pipeline's stage: words in a shingle, least similarity of two shingle sets, and that as a fraction.
-NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
-SHARE, OF = Fraction(str(NEAR_SIMILARITY)).as_integer_ratio()
-#: Cells of shingles whose parity is kept for each text: a power of two.
-CELLS = 1024
+#: In the pipeline's stage: the least similarity of two sets of shingles, and the rule it makes with five words a shingle.
+NEAR_SIMILARITY = 0.8
+RULE = Likeness(4, 5, 5)
 #: Shingles that are put last in the stage's order, the most frequent first to go; any number gives the same result.
 LATE = 100_000
-#: With how many of a shingle's texts all others that are still apart are compared, before all pairs that are still apart are.
-PIVOTS = 16
-#: With at most so many buckets, or pairs, to look up, their numbers are broadcast; with more that is a join.
-BROADCAST_PAIRS = 1_000_000
 
 
 def covering_masks(free: int, radius: int) -> list[int]:
@@ -159,10 +150,12 @@ def near_groups(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -
     shared_dir(df.sparkSession)
     prints = stored(df.select(F.col(id_col).alias("doc_id"), _fingerprint3(text_of(text_col)).alias("fp")), "fingerprints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(radius_links(distinct.select("fp")), "a", "b")
-    named = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(least, "root").select(F.col("fp").alias("f"), "component_id")
+    distinct = stored(distinct, "distinct")
+    roots = stored(components(radius_links(distinct.select("fp")), "a", "b"), "roots")
+    named = stored(distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "named")
+    # written, like the minima in components: a large component's fingerprints can then be split
+    least = stored(named.groupBy("root").agg(F.min("least").alias("component_id")), "minima")
+    by_fp = stored(named.join(least, "root").select(F.col("fp").alias("f"), "component_id"), "found")
     return prints.join(by_fp, F.col("fp") == F.col("f")).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -171,27 +164,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(table(spark, sf_dir, "documents"))
 
 
-def _shingles(text: str | None, k: int) -> set[int]:
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    h = xxhash.xxh64_intdigest
-    if len(words) <= k:
-        return {h(b" ".join(words), SEED)}
-    return {h(b" ".join(words[i : i + k]), SEED) for i in range(len(words) - k + 1)}
-
-
-_recent_shingles = lru_cache(maxsize=8)(_shingles)
-
-
-def similarity(a: str | None, b: str | None, k: int = NEAR_WORDS) -> float:
-    """Jaccard similarity of two texts' sets of ``k``-word shingles (a shorter text is one shingle)."""
-    x, y = _recent_shingles(a, k), _recent_shingles(b, k)
-    both = len(x & y)
-    return both / (len(x) + len(y) - both)
-
-
-@F.pandas_udf(T.BooleanType())
-def _alike(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) >= NEAR_SIMILARITY for x, y in zip(a, b, strict=True)], dtype=bool)
+def similarity(a: str | None, b: str | None) -> float:
+    """Jaccard similarity of two texts' sets of shingles in the pipeline's stage."""
+    both, all_of = RULE.similarity(a, b)
+    return both / all_of
 
 
 def _prefixes(text: Column, late: np.ndarray) -> Column:
@@ -208,130 +184,45 @@ def _prefixes(text: Column, late: np.ndarray) -> Column:
     def run(texts: pd.Series) -> pd.DataFrame:
         sizes, out, prints, cells = [], [], [], []
         for t in texts:
-            own = _shingles(t, NEAR_WORDS)
+            own = shingles(t, RULE.words)
             h = np.fromiter(own, dtype="<u8", count=len(own))
             prints.append(_signed(_majority(h)))
-            cells.append(np.packbits(np.bincount((h & np.uint64(CELLS - 1)).astype(np.int64), minlength=CELLS) & 1, bitorder="little").view("<i8"))
+            cells.append(parity(h))
             h = np.sort(h.view("<i8"))
             if len(known):
                 spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 h = h[np.argsort(np.where(known[spot] == h, at[spot] + 1, 0), kind="stable")]
             sizes.append(len(h))
-            out.append(h[: len(h) + (-len(h) * SHARE) // OF + 1])
+            out.append(h[: len(h) + (-len(h) * RULE.share) // RULE.of + 1])
         return pd.DataFrame({"n": pd.Series(sizes, dtype="int32"), "tokens": pd.Series(out, dtype=object), "fp": pd.Series(prints, dtype="int64"), "parity": pd.Series(cells, dtype=object)})
 
     return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())).add("fp", "long").add("parity", T.ArrayType(T.LongType())))(text)
 
 
-def _possible(a_n, a_pos, b_n, b_pos):
-    """Whether two sets of shingles whose first common one has these positions can be alike: columns or arrays."""
-    rest = a_n - a_pos, b_n - b_pos
-    both = SHARE * (a_n + b_n)
-    return (rest[0] * (SHARE + OF) >= both) & (rest[1] * (SHARE + OF) >= both)
-
-
-@F.pandas_udf(T.ArrayType(T.StructType().add("a", "long").add("b", "long")))
-def _open_pairs(nodes: pd.Series, sizes: pd.Series, places: pd.Series, groups: pd.Series, parts: pd.Series, parities: pd.Series, across: pd.Series) -> pd.Series:
-    """The possible pairs of a bucket's members of different groups; ``across``: of different parts only.
-
-    Cells of different parity are no more than the shingles that only one of two texts has, and
-    alike texts have few of these: most pairs of a large family end here, and are never listed.
-    """
-    out = []
-    for node, n, pos, group, part, parity, cross in zip(nodes, sizes, places, groups, parts, parities, across, strict=True):
-        ok = _possible(n[:, None].astype("i8"), pos[:, None].astype("i8"), n[None, :].astype("i8"), pos[None, :].astype("i8")) & (group[:, None] != group[None, :]) & (node[:, None] < node[None, :])
-        if cross:
-            ok &= part[:, None] != part[None, :]
-        bits, (i, j) = np.stack(parity).view(np.uint64), np.nonzero(ok)
-        only = np.zeros(len(i), dtype=np.int64)
-        for at in range(0, len(i), 1 << 14):
-            only[at : at + (1 << 14)] = np.bitwise_count(bits[i[at : at + (1 << 14)]] ^ bits[j[at : at + (1 << 14)]]).sum(axis=1)
-        near = only * (OF + SHARE) <= (n[i].astype("i8") + n[j]) * (OF - SHARE)
-        i, j = i[near], j[near]
-        out.append([{"a": int(node[a]), "b": int(node[k])} for a, k in zip(i, j, strict=True)])
-    return pd.Series(out, dtype=object)
-
-
-def _sizes(nodes: DataFrame) -> DataFrame:
-    """(token, size) of the tokens that several nodes have; most have one, and only the others leave this count."""
-    return stored(nodes.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("size")).filter("size > 1"), "shared")
-
-
-def _few(df: DataFrame) -> DataFrame:
-    """``df``, broadcast if it has few rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_PAIRS else df
-
-
 def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect the nodes exactly as all pairs alike to 0.8 do.
 
     ``nodes`` has (node, n, tokens, fp, parity), their prefixes in the order of hashes; ``texts``
     (t_row, t) the text of each node. Nodes that covering tables bring together are compared first.
-    For the others, shingles in the prefixes of many nodes are put last in the order. Each node is
-    then compared with one: of all its tokens' members the first, in the order of a hash, so that a
-    large group of copies meets in about as many pairs as it has members. After that only members
-    of different groups are compared: with the first few of a token, then all of them, a large
-    token's in parts of about ``LIMIT``.
+    For the others, shingles in the prefixes of many nodes are put last in the order, and the shingles
+    of prefixes are the keys by which alike texts meet (``linking.connect``).
     """
     prints = nodes.groupBy("fp").agg(F.min("node").alias("first"))
     equal = nodes.join(prints.withColumnRenamed("fp", "p_fp"), F.col("fp") == F.col("p_fp")).filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
     within = radius_links(prints.select("fp"))
     named = within.join(prints, F.col("a") == F.col("fp")).select(F.col("first").alias("x"), "b").join(prints, F.col("b") == F.col("fp")).select(F.col("x").alias("a"), F.col("first").alias("b"))
     seeds = equal.unionByName(named)
-    sizes = _sizes(nodes)
+    sizes = shared_keys(nodes)
     heavy = stored(sizes.filter(F.col("size") > LIMIT).orderBy(F.desc("size"), "token").limit(LATE), "late")  # LATE rows at most
     order = np.array([r[0] for r in heavy.orderBy("size", F.desc("token")).select("token").toLocalIterator()], dtype=np.int64)
     if len(order):
         heavy = F.broadcast(heavy.select("token"))
         touched = stored(nodes.select("node", F.explode("tokens").alias("token")).join(heavy, "token", "left_semi").select("node").distinct(), "touched")
-        again = texts.join(_few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.*")
-        nodes = stored(nodes.join(_few(touched), "node", "left_anti").select(*again.columns).unionByName(again), "nodes")
-        sizes = _sizes(nodes)
-    held = stored(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(_few(sizes), "token"), "held")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        # a common shingle outside both prefixes is in the rest of the one that ends first
-        own = nodes.select(F.col("node").alias("p_node"), F.col("n").alias("p_n"), F.col("tokens").alias("p_tokens"))
-        one = pairs.join(own, F.col("a") == F.col("p_node")).select("a", "b", F.col("p_n").alias("a_n"), F.col("p_tokens").alias("a_tokens"))
-        most = F.size(F.array_intersect("a_tokens", "p_tokens")) + F.greatest(F.col("a_n") - F.size("a_tokens"), F.col("p_n") - F.size("p_tokens"))
-        pairs = one.join(own, F.col("b") == F.col("p_node")).filter(most * (SHARE + OF) >= SHARE * (F.col("a_n") + F.col("p_n"))).select("a", "b")
-        pairs = stored(pairs, "close")
-        # only the texts of candidates are shuffled
-        wanted = _few(pairs.select(F.explode(F.array("a", "b")).alias("w_row")).distinct())
-        own = texts.join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
-        left = pairs.join(own, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
-        return stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike("ta", "t").alias("alike")).filter("alike").select("a", "b"), "links")
-
-    def regrouped(state: DataFrame, links: DataFrame) -> DataFrame:
-        groups = components(links, "a", "b").withColumnRenamed("node", "g_node")
-        return state.join(_few(groups), F.col("node") == F.col("g_node"), "left").select(*held.columns, F.coalesce("root", "node").alias("group"))
-
-    links = alike(seeds)
-    state = stored(regrouped(held, links), "grouped")
-    spread = F.struct(F.xxhash64("node").alias("h"), "node")
-    for pivots in (1, PIVOTS):
-        several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
-        state = state.join(_few(several), "token", "left_semi")
-        if pivots == 1:
-            first = state.groupBy("token").agg(F.min(spread).alias("f")).select(F.col("token").alias("f_token"), "f")
-            pairs = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(F.min("f").alias("f")).select(F.col("node").alias("a"), F.col("f.node").alias("b")).filter("a != b")
-        else:
-            nth = F.row_number().over(W.partitionBy("token").orderBy(spread))
-            firsts = state.select("token", F.struct("node", "n", "pos", "group").alias("f"), nth.alias("nth")).filter(F.col("nth") <= pivots).select(F.col("token").alias("f_token"), "f")
-            apart = (F.col("group") != F.col("f.group")) & _possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos"))
-            pairs = state.join(firsts, (F.col("token") == F.col("f_token")) & apart).select(F.col("f.node").alias("a"), F.col("node").alias("b"))
-        links = links.unionByName(alike(pairs))
-        # of a token with no more members than this all pairs have been compared
-        state = stored(regrouped(state.drop("group"), links).filter(F.col("size") > (0 if pivots == 1 else pivots)), "grouped")
-    several = state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
-    parts = F.ceil(F.col("size") / LIMIT).cast("int")
-    cells = nodes.select(F.col("node").alias("c_node"), "parity")
-    cut = state.join(_few(stored(several, "several")), "token", "left_semi").join(cells, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
-    rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(*[F.col(f"members.{k}") for k in ("node", "n", "pos", "group", "part", "parity")], F.col("i") != F.col("j"))).alias("l"))
-    return links.unionByName(alike(rest.select("l.a", "l.b")))
+        again = texts.join(few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.*")
+        nodes = stored(nodes.join(few(touched), "node", "left_anti").select(*again.columns).unionByName(again), "nodes")
+        sizes = shared_keys(nodes)
+    held = stored(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(few(sizes), "token"), "held")
+    return connect(held, nodes.select("node", "n", "parity"), texts, RULE, seeds)
 
 
 def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tests.llm.conftest import ODD
 
+from tessaria.llm import linking
 from tessaria.llm import simhash as s
 
 
@@ -185,6 +186,7 @@ def test_stage_finds_contiguous_edits(documents):
 
 def test_stage_is_exact_where_a_shingle_is_common(documents, monkeypatch):
     monkeypatch.setattr(s, "LIMIT", 8)
+    monkeypatch.setattr(linking, "LIMIT", 8)
     rng = np.random.default_rng(12)
     line, words = [f"common{i}" for i in range(60)], [f"u{i}" for i in range(4000)]
     texts = []
