@@ -1,11 +1,12 @@
 """Text functions as Catalyst expressions: normalisation, accents, dates, shapes.
 
-Tables of characters are made from the Unicode data, once, when a plan is built; texts meet
-built-in expressions only.
+Classes of characters are made from the Unicode data, once, when a plan is built; texts meet
+built-in expressions only. Normal forms of text beyond ASCII are the JVM's own.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
@@ -24,37 +25,8 @@ AUDIT_HEADERS = ["probabilidade", "impacto", "tratamento", "risco", "probabilida
 DELIVERY_HEADERS = ["servico", "servico/acao", "acao", "produto", "produto ptd", "eixo", "data pactuada", "data entrega", "area responsavel", "id", "id entrega"]
 
 
-#: What the tables of characters cover: Latin, Greek and Cyrillic, punctuation, letterlike and number forms, circled and full-width letters, Latin ligatures.
-BLOCKS = ((0xA0, 0x52F), (0x1D00, 0x218F), (0x2460, 0x24FF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
-
-
-def _letters(blocks: tuple = BLOCKS) -> list[str]:
-    return [chr(c) for first, last in blocks for c in range(first, last + 1)]
-
-
-@lru_cache(maxsize=4)
-def _decomposed(blocks: tuple = BLOCKS) -> tuple[dict[str, str], dict[str, str]]:
-    """Compatibility forms without combining marks, by character: one to one, and one to more."""
-    one, more = {}, {}
-    for c in _letters(blocks):
-        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
-        if plain not in ("", c):
-            (one if len(plain) == 1 else more)[c] = plain
-    return one, more
-
-
-@lru_cache(maxsize=1)
-def _compositions() -> tuple[list[tuple[str, str]], dict[str, str]]:
-    """(decomposed, composed) for every letter that composes, shorter compositions first; and what a single other character stands for."""
-    pairs, single = [], {}
-    for c in _letters():
-        pair, whole = unicodedata.normalize("NFD", c), unicodedata.normalize("NFC", c)
-        if whole != c:
-            if len(whole) == 1:
-                single[c] = whole
-        elif len(pair) > 1:
-            pairs.append((len(pair), unicodedata.normalize("NFC", pair[:-1]) + pair[-1], c))
-    return [(d, c) for _, d, c in sorted(pairs)], single
+#: The class with Unicode's normal forms that Spark itself brings along, for its collations.
+_NORMALIZER = "com.ibm.icu.text.Normalizer"
 
 
 def _ranges(points: list[int]) -> str:
@@ -69,11 +41,10 @@ def _ranges(points: list[int]) -> str:
 
 
 @lru_cache(maxsize=1)
-def _order_of_marks() -> str:
-    """A mark above, and one after it that canonical order puts before it."""
-    near = [c for c in range(0x300, 0x370) if unicodedata.combining(chr(c))]
-    above, before = ([c for c in near if keep(unicodedata.combining(chr(c)))] for keep in (lambda k: k == 230, lambda k: k < 230))
-    return f"([{_ranges(above)}])([{_ranges(before)}])"
+def _marks_and_formats() -> tuple[str, str]:
+    """Character classes of what combines (any class but zero, whatever its category) and of format characters."""
+    every = range(sys.maxunicode + 1)
+    return f"[{_ranges([c for c in every if unicodedata.combining(chr(c))])}]", f"[{_ranges([c for c in every if unicodedata.category(chr(c)) == 'Cf'])}]"
 
 
 def let(value: Column, body) -> Column:
@@ -84,13 +55,6 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
-    """``c`` with every first text of a pair replaced by the second. The pairs are two constants, whatever their number."""
-    first, second = (F.split(F.lit("\x01".join(side)), "\x01") for side in zip(*pairs, strict=True))
-    table = F.zip_with(first, second, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.aggregate(table, c, lambda acc, x: F.replace(acc, x.a, x.b))
-
-
 def blank_as_empty(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
@@ -105,54 +69,35 @@ def collapsed(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, rf"(?U){SPACE}+", " "))
 
 
-def _looked_up(ch: Column, table: dict[str, str]) -> Column:
-    """What a constant table has for a character; the character itself if it has nothing."""
-    first, second = (F.split(F.lit("\x01".join(side)), "\x01") for side in (table.keys(), table.values()))
-    return F.coalesce(F.get(second, F.array_position(first, ch).cast("int") - 1), ch)
-
+def _normal(c: Column, method: str, compatible: bool) -> Column:
+    """A normal form of ``c``; texts of ASCII characters pass as they are, as null does.
 
-def _with_each(x: Column, pattern: str, new) -> Column:
-    """``x`` with every text that the pattern finds replaced by ``new`` of it; the longest first."""
-    found = F.array_distinct(F.regexp_extract_all(x, F.lit(pattern), F.lit(0)))
-    longest = F.array_sort(F.transform(found, lambda f: F.struct((-F.length(f)).alias("n"), f.alias("f"))))
-    return F.aggregate(longest, x, lambda acc, f: F.replace(acc, f.f, new(f.f)))
+    Spark takes such a call for one that may differ from time to time, so it can't stand in a join's
+    condition, a grouping or an aggregate: project it first.
+    """
+    return F.when(F.octet_length(c) > F.length(c), F.reflect(F.lit(_NORMALIZER), F.lit(method), c, F.lit(compatible))).otherwise(c)
 
 
 def composed(c: Column) -> Column:
-    """NFC of the characters in ``BLOCKS``: letters with combining marks as single characters where there is one.
-
-    Marks after a letter are put in canonical order two at a time; what composes only over another
-    mark in between stays. Characters elsewhere stay as they are.
-    """
-    pairs, single = _compositions()
-    order = _order_of_marks()
-
-    def cluster(f: Column) -> Column:
-        return _replaced(F.regexp_replace(F.regexp_replace(f, order, "$2$1"), order, "$2$1"), pairs)
+    """NFC, in any script: marks in canonical order, letters with marks as single characters where there is one."""
+    return let(c, lambda x: _normal(x, "compose", False))
 
-    def whole(x: Column) -> Column:
-        y = F.translate(x, "".join(single), "".join(single.values()))
-        return F.when(F.regexp_like(x, F.lit(r"[\u0300-\u036f]")), _with_each(y, r"[^\u0300-\u036f][\u0300-\u036f]+", cluster)).otherwise(y)
 
-    return let(c, whole)
+def decomposed(c: Column) -> Column:
+    """NFKD, in any script: characters as those they are compatible with, marks apart and in canonical order."""
+    return let(c, lambda x: _normal(x, "decompose", True))
 
 
 def strip_accents(c: Column) -> Column:
-    """NFKD of the characters in ``BLOCKS``, without combining marks; texts of ASCII characters pass as they are."""
-    one, more = _decomposed()
-    many = f"[{_ranges(sorted([ord(x) for x in more]))}]"
-
-    def plain(x: Column) -> Column:
-        got = F.translate(x, "".join(one), "".join(one.values()))
-        got = let(got, lambda y: F.when(F.regexp_like(y, F.lit(many)), _with_each(y, many, lambda f: _looked_up(f, more))).otherwise(y))
-        return F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(got, r"\p{Mn}", ""))
-
-    return let(c, plain)
+    """NFKD without combining characters, in any script; texts of ASCII characters pass as they are."""
+    marks, _ = _marks_and_formats()
+    return let(c, lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(_normal(x, "decompose", True), marks, "")))
 
 
 def normalize_text(c: Column) -> Column:
     """No format characters, composed, white space collapsed, one leading enumeration mark dropped; null is empty."""
-    bare = F.regexp_replace(blank_as_empty(c), r"\p{Cf}", "")
+    _, formats = _marks_and_formats()
+    bare = let(blank_as_empty(c), lambda x: F.when(F.octet_length(x) == F.length(x), x).otherwise(F.regexp_replace(x, formats, "")))
     return F.regexp_replace(collapsed(composed(bare)), PREFIX, "")
 
 

@@ -127,6 +127,47 @@ def strip_accents(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(tx.strip_accents(F.coalesce("text", F.lit(" ")))).alias("plain_md5"))
 
 
+#: Code points by rule: the first and the number of those that rows take their letters from (Latin to Devanagari, Hangul, kana, CJK forms, Arabic forms, mathematical letters).
+_SCRIPTS = [(0xC0, 0x500), (0x900, 0x400), (0x1100, 0x100), (0x1E00, 0x200), (0x2100, 0x90), (0x3040, 0xC0), (0x3300, 0x100), (0xAC00, 0x2BA4), (0xF900, 0x16E), (0xFB00, 0x500), (0xFF01, 0xE5), (0x1D400, 0x3FF)]
+#: Marks of many combining classes, some of which compose and some of which come out of order.
+_MARKS = [0x301, 0x327, 0x308, 0x323, 0x302, 0x345, 0x93C, 0x5B0, 0x1161, 0x11A8, 0x3099, 0x309A, 0x64B, 0x654, 0x338, 0x31B, 0x1D165]
+
+
+def _points(k: Column) -> list[Column]:
+    """A letter of one of the scripts and three marks, by a number."""
+    at = F.element_at(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(n).alias("n")) for a, n in _SCRIPTS]), (k % len(_SCRIPTS) + 1).cast("int"))
+    marks = F.array(*map(F.lit, _MARKS))
+    return [(at["a"] + F.floor(k / len(_SCRIPTS)) * 37 % at["n"]).cast("int"), *[F.element_at(marks, (F.floor(k / by) % len(_MARKS) + 1).cast("int")) for by in (1, 5, 11)]]
+
+
+def _character(point: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+
+_POINTS_SQL = (
+    f"list_extract({[a for a, _ in _SCRIPTS]}, CAST(k % {len(_SCRIPTS)} + 1 AS INT)) + (k // {len(_SCRIPTS)}) * 37 % list_extract({[n for _, n in _SCRIPTS]}, CAST(k % {len(_SCRIPTS)} + 1 AS INT))",
+    *[f"list_extract({_MARKS}, CAST((k // {by}) % {len(_MARKS)} + 1 AS INT))" for by in (1, 5, 11)],
+)
+
+
+@query(f"SELECT k AS o_orderkey, md5(nfc_normalize({' || '.join(f'chr(CAST({p} AS INT))' for p in _POINTS_SQL)})) AS composed_md5 FROM (SELECT o_orderkey AS k FROM orders)")
+def unicode_composed(spark, sf_dir):
+    """STR1 in any script: a letter and three marks for each order, composed in canonical order."""
+    k = F.col("o_orderkey")
+    return read(spark, sf_dir, "orders").select(k, F.concat(*map(_character, _points(k))).alias("s")).select("o_orderkey", F.md5(tx.composed(F.col("s"))).alias("composed_md5"))
+
+
+#: Words whose compatible forms are other characters, several, or none, with marks of every kind.
+_WORDS = ["Integração", "각하", "ｶﾞｷﾞ", "㎏ e ㌔", "ﷺ", "𝐀𝕭𝟘", "ऩई क़लम", "Ἀθῆναι", "й Ё", "ﬁnal ﬀ", "①②③", "ΐ", "ẛ̣", "q\u0307\u0323", "שָׁלוֹם", "עִבְרִית", "لَا", "กำ", "Å Ω K", "½ ª º", "ữ", "㌀", "豈更", "が", "𑂚", "e\u0301\u0327", "ㅎㅏㄴ", "㈜", "µm", "plain", ""]
+
+
+@query(f"SELECT l_orderkey, l_linenumber, w.b AS plain FROM (SELECT *, (l_orderkey + l_linenumber) % {len(_WORDS)} AS k FROM lineitem) JOIN (VALUES {sql.values([(i, sql.bare(w)) for i, w in enumerate(_WORDS)])}) w(i, b) ON w.i = k")
+def unicode_plain(spark, sf_dir):
+    """STR2 in any script, against the standard library's forms."""
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", pick(F.col("l_orderkey") + F.col("l_linenumber"), _WORDS).alias("w"))
+    return rows.select("l_orderkey", F.col("l_linenumber"), tx.strip_accents(F.col("w")).alias("plain"))
+
+
 @query(f"SELECT doc_id, {sql.header('text')} AS header FROM ({sql.lines()}) WHERE line = 0")
 def header_norm(spark, sf_dir):
     """STR3 over first lines."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from tessaria.functions import text as tx
-from tessaria.functions.text import _decomposed
 
 
 def quoted(s: str) -> str:
@@ -23,8 +24,13 @@ def normalize(x: str) -> str:
     return rf"regexp_replace(trim(regexp_replace(coalesce({x}, ''), '\s+', ' ', 'g')), '^[A-Za-z0-9]{{1,3}}\s*[).\-]\s+', '')"
 
 
+def bare(s: str) -> str:
+    """NFKD without combining characters, as the standard library has it."""
+    return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+
+
 def plain(x: str) -> str:
-    one, _ = _decomposed(((0xA0, 0x24F),))
+    one = {c: bare(c) for c in map(chr, range(0xA0, 0x250)) if len(bare(c)) == 1 and bare(c) != c}
     out = f"translate({x}, {quoted(''.join(one))}, {quoted(''.join(one.values()))})"
     return out
 
