@@ -3,8 +3,9 @@
 What a key is (a shingle of a prefix, a chunk of a signature) is the caller's; that two texts that
 are alike share one is too. Here they are compared, on their whole sets, and never all with all:
 each text first with one other, so that a large group of copies meets in about as many pairs as it
-has members; from then on only texts of different groups are. Before texts are moved, sizes and
-the parity of shingles in ``CELLS`` cells rule pairs out: both never rule out texts that are alike.
+has members; from then on only texts of different groups are, first with a few by chance, then with
+the most promising ones, last with all that can't be ruled out. Sizes and the parity of shingles in
+``CELLS`` cells rule pairs out; both never rule out texts that are alike.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,8 +28,10 @@ SEED = 42
 CELLS = 1024
 #: The largest group of a key's members that are compared in one piece.
 LIMIT = 128
-#: With how many of a key's texts all others that are still apart are compared, before all pairs that are still apart are.
-PIVOTS = 16
+#: The rounds in which texts are compared with a few others by chance: each number is an order by hash, and in a round a text meets the first of all its keys' members in each order.
+ROUNDS = ((0,), (1, 2, 3))
+#: How many of its most promising partners in a piece a text that is still apart is compared with, before all.
+PARTNERS = 4
 #: With at most so many buckets, or pairs, to look up, their numbers are broadcast; with more that is a join.
 BROADCAST_PAIRS = 1_000_000
 
@@ -93,11 +95,22 @@ def _alike(rule: Likeness, a: Column, b: Column) -> Column:
     return F.pandas_udf(run, T.BooleanType())(a, b)
 
 
-def _open_pairs(rule: Likeness, members: str, across: Column) -> Column:
+def _best(i: np.ndarray, only: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the ``most`` of their member ``i`` with the smallest ``only``."""
+    order = np.lexsort((only, i))
+    first = np.r_[True, i[order][1:] != i[order][:-1]] if len(i) else np.zeros(0, dtype=bool)
+    starts = np.maximum.accumulate(np.where(first, np.arange(len(i)), 0))
+    out = np.zeros(len(i), dtype=bool)
+    out[order] = np.arange(len(i)) - starts < most
+    return out
+
+
+def _open_pairs(rule: Likeness, members: str, across: Column, most: int | None) -> Column:
     """The possible pairs of a key's members of different groups; ``across``: of different parts only.
 
     Cells of different parity are no more than the shingles that only one of two texts has, and
-    alike texts have few of these: most pairs of a large family end here, and are never listed.
+    alike texts have few of these: most pairs of a large family end here, and are never listed. With
+    ``most``, of the others each member's most alike ones by that count.
     """
 
     def run(nodes: pd.Series, sizes: pd.Series, places: pd.Series, groups: pd.Series, parts: pd.Series, parities: pd.Series, across: pd.Series) -> pd.Series:
@@ -112,7 +125,11 @@ def _open_pairs(rule: Likeness, members: str, across: Column) -> Column:
             for at in range(0, len(i), 1 << 14):
                 only[at : at + (1 << 14)] = np.bitwise_count(bits[i[at : at + (1 << 14)]] ^ bits[j[at : at + (1 << 14)]]).sum(axis=1)
             near = rule.near(only, n[i] + n[j])
-            out.append([{"a": int(node[a]), "b": int(node[k])} for a, k in zip(i[near], j[near], strict=True)])
+            i, j, only = i[near], j[near], only[near]
+            if most is not None:
+                kept = _best(i, only, most) | _best(j, only, most)
+                i, j = i[kept], j[kept]
+            out.append([{"a": int(node[a]), "b": int(node[k])} for a, k in zip(i, j, strict=True)])
         return pd.Series(out, dtype=object)
 
     kind = T.ArrayType(T.StructType().add("a", "long").add("b", "long"))
@@ -148,40 +165,40 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
     ``held`` has (token, node, n, pos, size): a row for each node's key that several have, the size
     of the node's set, the key's position in it (0 where keys have none), how many nodes have the
     key. ``cells`` has (node, n, parity), ``texts`` (t_row, t). ``seeds`` are pairs to compare first.
-    Each node is compared with one: of all its keys' members the first, in the order of a hash. Then
-    only members of different groups are: with the first few of a key, then all of them, a large
-    key's in parts of about ``LIMIT``.
+    In each round of ``ROUNDS`` a node meets the first member of all its keys in the order of a hash,
+    as long as that is of another group. Then members of different groups meet within a key, a large
+    key's in parts of about ``LIMIT``: first the most promising pairs, then all that are possible.
     """
     names = [F.col(c) for c in ("token", "node", "n", "pos", "size")]
+    links = None if seeds is None else verified(seeds, cells, texts, rule)
+    own = cells.select(F.col("node").alias("c_node"), "parity")
 
-    def regrouped(state: DataFrame, links: DataFrame) -> DataFrame:
+    def still_apart(links: DataFrame | None) -> DataFrame:
+        """The rows of keys whose members are in several groups, with each one's group."""
+        if links is None:
+            return held.select(*names, F.col("node").alias("group"))
         groups = stored(components(links, "a", "b"), "groups").withColumnRenamed("node", "g_node")
-        return state.join(few(groups), F.col("node") == F.col("g_node"), "left").select(*names, F.coalesce("root", "node").alias("group"))
+        state = stored(held.join(few(groups), F.col("node") == F.col("g_node"), "left").select(*names, F.coalesce("root", "node").alias("group")), "grouped")
+        several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
+        return state.join(few(several), "token", "left_semi")
 
-    links = None if seeds is None else verified(seeds, cells, texts, rule)
-    state = held.select(*names, F.col("node").alias("group")) if links is None else stored(regrouped(held, links), "grouped")
-    spread = F.struct(F.xxhash64("node").alias("h"), "node")
-    for pivots in (1, PIVOTS):
-        if links is not None:
-            several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
-            state = state.join(few(several), "token", "left_semi")
-        if pivots == 1:
-            first = stored(state.groupBy("token").agg(F.min(spread).alias("f")).select(F.col("token").alias("f_token"), "f"), "first")
-            pairs = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(F.min("f").alias("f")).select(F.col("node").alias("a"), F.col("f.node").alias("b")).filter("a != b")
-        else:
-            nth = F.row_number().over(W.partitionBy("token").orderBy(spread))
-            firsts = state.select("token", F.struct("node", "n", "pos", "group").alias("f"), nth.alias("nth")).filter(F.col("nth") <= pivots).select(F.col("token").alias("f_token"), "f")
-            apart = (F.col("group") != F.col("f.group")) & rule.possible(F.col("n"), F.col("pos"), F.col("f.n"), F.col("f.pos"))
-            pairs = state.join(firsts, (F.col("token") == F.col("f_token")) & apart).select(F.col("f.node").alias("a"), F.col("node").alias("b"))
+    def joined(links: DataFrame | None, pairs: DataFrame) -> DataFrame:
         found = verified(pairs, cells, texts, rule)
-        links = found if links is None else links.unionByName(found)
-        # of a key with no more members than this all pairs have been compared
-        state = stored(regrouped(state, links).filter(F.col("size") > (0 if pivots == 1 else pivots)), "grouped")
-    several = state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token")
-    parts = F.ceil(F.col("size") / LIMIT).cast("int")
-    own = cells.select(F.col("node").alias("c_node"), "parity")
-    cut = state.join(few(stored(several, "several")), "token", "left_semi").join(own, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
-    rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("i") != F.col("j"))).alias("l"))
-    return links.unionByName(verified(rest.select("l.a", "l.b"), cells, texts, rule))
+        return found if links is None else links.unionByName(found)
+
+    for orders in ROUNDS:
+        state = still_apart(links)
+        firsts = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "group")).alias(f"f{k}") for k in orders]
+        first = stored(state.groupBy("token").agg(*firsts).withColumnRenamed("token", "f_token"), "first")
+        other = [F.min(F.when(F.col("group") != F.col(f"f{k}.group"), F.col(f"f{k}"))).alias(f"f{k}") for k in orders]
+        met = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(*other)
+        pairs = met.select(F.col("node").alias("a"), F.explode(F.array_compact(F.array(*[f"f{k}.node" for k in orders]))).alias("b"))
+        links = joined(links, pairs)
+    for most in (PARTNERS, None):
+        parts = F.ceil(F.col("size") / LIMIT).cast("int")
+        cut = still_apart(links).join(own, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
+        rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("i") != F.col("j"), most)).alias("l"))
+        links = joined(links, rest.select("l.a", "l.b"))
+    return links

@@ -101,7 +101,7 @@ def test_the_table_against_all_pairs(documents):
 @pytest.mark.parametrize("pairs", [1_000_000, 0])
 def test_a_large_family_and_a_common_passage(documents, monkeypatch, pairs):
     monkeypatch.setattr(linking, "LIMIT", 8)
-    monkeypatch.setattr(linking, "PIVOTS", 2)
+    monkeypatch.setattr(linking, "PARTNERS", 1)
     monkeypatch.setattr(linking, "BROADCAST_PAIRS", pairs)
     rnd = np.random.default_rng(12)
     words, line = [f"u{i}" for i in range(4000)], [f"common{i}" for i in range(60)]
