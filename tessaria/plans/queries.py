@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessaria.functions import text as tx
 from tessaria.functions import vocab
-from tessaria.operators import coverage, dedup, extract, harmonize, match, metrics, scrape, standardize, variations
+from tessaria.operators import coverage, dedup, extract, harmonize, match, metrics, scrape, similarity, standardize, variations
 from tessaria.plans import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -407,11 +407,10 @@ SELECT a0 AS value, arg_max(b0, (r, -o)) AS canonical, CAST(max(r) AS DOUBLE) AS
 FROM r JOIN (SELECT b, row_number() OVER (ORDER BY b) AS o FROM n) x ON x.b = b0 WHERE a0 NOT IN (SELECT b FROM n) AND r > 0 GROUP BY a0
 """)
 def fuzzy_best(spark, sf_dir):
-    """FZ1, FZ2: truncated part names against all part names."""
+    """FZ1, FZ2: truncated part names against all part names, an exact similarity join."""
     names = read(spark, sf_dir, "part").select("p_name").distinct()
-    candidates = sorted(r[0] for r in names.collect())  # a vocabulary
     cut = names.select(F.expr("substring(p_name, 1, length(p_name) - 2)").alias("a"))
-    return match.match_values(cut, "a", candidates).filter("score < 1.0")
+    return similarity.best_matches(cut, "a", names, "p_name").filter("score < 1.0").drop("compared")
 
 
 _PRODUCT_FORMS = [*vocab.ALL_PRODUCTS[:20], "integração AO login único", "Integração ao Login Unico", "Implementacao do VLibras", "eIntegração ao Login Único", "A) Adequação à LGPD"]
