@@ -11,6 +11,8 @@ from tessaria.functions import vocab
 from tessaria.operators import audit, match, tables
 from tessaria.sources import files
 
+#: Names of the service column, as pages that repeat their header have them (fixed values).
+SERVICE_HEADERS = ["servico/acao", "servico", "serviço /ação"]
 MONTH = rf"^(?:{'|'.join(tx.MONTHS)})"
 DELIVERY_ROLES = ("servico", "produto", "eixo", "data_pactuada", "data_entrega", "pactuado", "justificativa", "status")
 
@@ -159,9 +161,9 @@ def delivery_entries(rows: DataFrame) -> DataFrame:
     confidence, review, reason = _delivery_marks(other, True)
     return r.select(
         "doc", "seq", tables.table_type(F.col("status"), F.col("roles")).alias("tabela_tipo"),
-        F.when(tx.key(F.col("servico")).isin("servico/acao", "servico", "servico /acao"), "").otherwise(F.substring("servico", 1, 250)).alias("servico_acao"),
+        F.when(F.lower("servico").isin(SERVICE_HEADERS), "").otherwise(F.substring("servico", 1, 250)).alias("servico_acao"),
         F.substring("produto", 1, 250).alias("produto_original"), name.alias("produto_normalizado"),
-        F.when(F.lower("eixo") == "eixo", "").otherwise(F.col("eixo")).alias("eixo_original"),
+        F.when(F.lower("eixo") == "eixo", "").when(recovered, F.substring("eixo", 1, 100)).otherwise(F.col("eixo")).alias("eixo_original"),
         F.coalesce(own, F.when(F.col("em.score") >= 0.80, F.col("em.canonical")), F.lit("")).alias("eixo_normalizado"),
         date("data_pactuada").alias("data_pactuada"), date("data_entrega").alias("data_entrega"), text("pactuado").alias("pactuado"), text("justificativa").alias("justificativa"),
         F.when(recovered, "medium").otherwise(confidence).alias("extraction_confidence"), (review | recovered).alias("needs_review"),

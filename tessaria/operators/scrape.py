@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +40,14 @@ def header_acronyms(header: Column) -> Column:
 
 
 def links(pages: DataFrame, html_col: str = "html", suffix: str = "", marker: str = "", host: str = "") -> DataFrame:
-    """(columns of ``pages`` but the html, at, href, anchor) for each link whose address has suffix and marker; a leading slash gets the host."""
-    pattern = r'(?is)<a\s[^>]*href="([^"]*)"[^>]*>(.*?)</a>'
-    hrefs, texts = (F.regexp_extract_all(F.col(html_col), F.lit(pattern), F.lit(i)) for i in (1, 2))
-    rows = pages.select(*[c for c in pages.columns if c != html_col], F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("anchor"))).alias("at", "l"))
-    rows = rows.select(*[c for c in rows.columns if c != "l"], F.col("l.href").alias("href"), tx.stripped(F.regexp_replace(F.col("l.anchor"), "<[^>]*>", "")).alias("anchor"))
+    """(columns of ``pages`` but the html, at, href, anchor) for each link whose address has suffix and marker; a leading slash gets the host.
+
+    Links are read by a parser: quotes of any kind or none, tags in any case, entities resolved, none in
+    comments or scripts. Texts of an anchor are joined by spaces. A null or empty page has none.
+    """
+    found = F.pandas_udf(lambda pages: pd.Series([_anchors(p) for p in pages], dtype=object), "array<struct<href: string, anchor: string>>")
+    rows = pages.select(*[c for c in pages.columns if c != html_col], F.posexplode(found(F.col(html_col))).alias("at", "l"))
+    rows = rows.select(*[c for c in rows.columns if c != "l"], F.col("l.href").alias("href"), F.col("l.anchor").alias("anchor"))
     rows = rows.filter(F.lower("href").endswith(suffix) & F.contains(F.col("href"), F.lit(marker)))
     return rows.withColumn("href", F.when(F.col("href").startswith("/"), F.concat(F.lit(host), F.col("href"))).otherwise(F.col("href")))
 
@@ -155,13 +160,22 @@ class _Page(HTMLParser):
     def text(self, i: int) -> str:
         """The texts inside an element, each stripped, joined by spaces."""
         start, end = self.span(i)
-        return " ".join(t for t in (x.strip() for at, x in self.texts if start <= at < end) if t)
+        at = lambda x: x[0]  # noqa: E731  texts are in the order in which they stand
+        inside = self.texts[bisect_left(self.texts, start, key=at) : bisect_left(self.texts, end, key=at)]
+        return " ".join(t for t in (x.strip() for _, x in inside) if t)
+
+
+def _anchors(html: str | None) -> list[dict]:
+    """The links of a page in order."""
+    page = _Page(html or "")
+    return [{"href": href, "anchor": page.text(i)} for i, href in page.links]
 
 
-def _listed(html: str | None, markers: list[str]) -> list[tuple]:
+def _listed(html: str | None, markers: list[str]) -> list[dict]:
     """(at, header, links) of a page's bold titles; the links are those of the element that holds the title."""
     page = _Page(html or "")
-    wanted = [(i, href, page.text(i)) for i, href in page.links if href.lower().endswith(".pdf") and (not markers or any(m in href for m in markers))]
+    wanted = [(page.span(i)[0], href, page.text(i)) for i, href in page.links if href.lower().endswith(".pdf") and (not markers or any(m in href for m in markers))]
+    place = lambda x: x[0]
     out = []
     for i, (tag, parent, _, _) in enumerate(page.elements):
         if tag not in ("strong", "b"):
@@ -169,7 +183,8 @@ def _listed(html: str | None, markers: list[str]) -> list[tuple]:
         header = page.text(i)
         if any(w in header.lower() for w in TITLE_WORDS):
             start, end = page.span(parent)
-            out.append((i, header, [(href, anchor) for a, href, anchor in wanted if start < page.elements[a][2] < end]))
+            inside = wanted[bisect_right(wanted, start, key=place) : bisect_left(wanted, end, key=place)]
+            out.append({"at": i, "header": header, "links": [{"href": href, "anchor": anchor} for _, href, anchor in inside]})
     return out
 
 
@@ -182,9 +197,9 @@ def organ_listing(pages: DataFrame, key: str, html_col: str = "html", host: str
     read one by one and stand for themselves; a null or empty page, or one without titles, has no
     rows. ``markers``: a link's address must have one of them; a leading slash gets ``host``.
     """
-    listed = F.udf(_listed, "array<struct<at: int, header: string, links: array<struct<href: string, anchor: string>>>>", useArrow=True)
-    known = F.array(*map(F.lit, markers)) if markers else F.array().cast("array<string>")
-    found = pages.select(F.col(key).alias("page"), F.explode(listed(F.col(html_col), known)).alias("h"))
+    known = list(markers)
+    listed = F.pandas_udf(lambda pages: pd.Series([_listed(p, known) for p in pages], dtype=object), "array<struct<at: int, header: string, links: array<struct<href: string, anchor: string>>>>")
+    found = pages.select(F.col(key).alias("page"), F.explode(listed(F.col(html_col))).alias("h"))
     rows = found.select("page", "h.at", F.col("h.header").alias("nome"), F.col("h.links").alias("links"), header_acronyms(F.col("h.header")).alias("siglas"))
     rows = first_per_set(rows.filter(F.size("siglas") > 0), "siglas", "at", within=("page",))
     absolute = lambda h: F.when(h.startswith("/"), F.concat(F.lit(host), h)).otherwise(h)

@@ -128,7 +128,7 @@ def strip_accents(spark, sf_dir):
 
 
 #: Code points by rule: the first and the number of those that rows take their letters from (Latin to Devanagari, Hangul, kana, CJK forms, Arabic forms, mathematical letters).
-_SCRIPTS = [(0xC0, 0x500), (0x900, 0x400), (0x1100, 0x100), (0x1E00, 0x200), (0x2100, 0x90), (0x3040, 0xC0), (0x3300, 0x100), (0xAC00, 0x2BA4), (0xF900, 0x16E), (0xFB00, 0x500), (0xFF01, 0xE5), (0x1D400, 0x3FF)]
+_SCRIPTS = [(0xC0, 0x500), (0x900, 0x400), (0x1100, 0x100), (0x1E00, 0x200), (0x2100, 0x90), (0x3040, 0xC0), (0x3300, 0x100), (0xAC00, 0x2BA4), (0xF900, 0x16E), (0xFB00, 0x3FE), (0xFF01, 0xE5), (0x1D400, 0x3FF)]
 #: Marks of many combining classes, some of which compose and some of which come out of order.
 _MARKS = [0x301, 0x327, 0x308, 0x323, 0x302, 0x345, 0x93C, 0x5B0, 0x1161, 0x11A8, 0x3099, 0x309A, 0x64B, 0x654, 0x338, 0x31B, 0x1D165]
 

@@ -298,3 +298,21 @@ def test_large_vocabularies_go_block_by_block(spark, monkeypatch):
     df = spark.createDataFrame([("abcx",), ("zzzz",), ("",)], "v string")
     got = {r.value: (r.canonical, r.score) for r in match.match_values(df, "v", ["abcd", "abce", "zzzy", "zzyz", "abcf"]).collect()}
     assert got == {"abcx": ("abcd", 0.75), "zzzz": ("zzzy", 0.75), "": ("", 0.0)}
+
+
+def test_links_of_any_spelling(spark):
+    html = """<a href='/x.pdf'>One</a> <A HREF=/z.pdf>Two <b>bold</b></A><!-- <a href="/no.pdf">no</a> --><a name="n">no</a>
+    <script>"<a href='/s.pdf'>s</a>"</script><a href="/a.pdf?x=1&amp;y=2">A&ccedil;&atilde;o</a><a class="k" href="https://h/Q.PDF">  q </a><a href>empty</a>"""
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "")], "page_id int, html string")
+    got = [(r.at, r.href, r.anchor) for r in scrape.links(pages, host="https://w").collect()]
+    assert got == [(0, "https://w/x.pdf", "One"), (1, "https://w/z.pdf", "Two bold"), (2, "https://w/a.pdf?x=1&y=2", "Ação"), (3, "https://h/Q.PDF", "q")]
+    assert [r.at for r in scrape.links(pages, suffix=".pdf", marker="h/").collect()] == [3]
+
+
+def test_listing_is_linear_in_titles():
+    import time
+
+    page = "".join(f"<div><b>Plano de Transformação Digital T{i}</b><a href='/t{i}.pdf'>Entregas</a></div>" for i in range(6000))
+    began = time.time()
+    got = scrape._listed(page, [])
+    assert len(got) == 6000 and got[7]["links"] == [{"href": "/t7.pdf", "anchor": "Entregas"}] and time.time() - began < 6
