@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessaria.functions import text as tx
 from tessaria.functions import vocab
-from tessaria.operators import coverage, dedup, extract, harmonize, match, metrics, scrape, similarity, standardize, variations
+from tessaria.operators import coverage, dedup, errors, extract, harmonize, match, metrics, scrape, similarity, standardize, variations
 from tessaria.plans import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -663,6 +663,16 @@ def file_counts(spark, sf_dir):
     return metrics.file_counts(read(spark, sf_dir, "conversations").select(kind.alias("tipo")))
 
 
+def _report_tables(spark, sf_dir) -> tuple[DataFrame, ...]:
+    k = F.col("o_orderkey")
+    risks = read(spark, sf_dir, "orders").select(
+        k.alias("seq"), pick(k, ["raro", "provável", "muito provável", "xx"]).alias("probabilidade_normalizada"), F.col("o_orderpriority").alias("impacto_normalizado"),
+        pick(k, ["mitigar", "Mitigar; Evitar", "Aceitar"]).alias("tratamento_normalizado"), (k % 9 == 0).alias("needs_review"),
+    )
+    deliveries = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("produto_normalizado"), F.col("p_type").alias("eixo_normalizado"), F.lit(False).alias("needs_review"))
+    return read(spark, sf_dir, "nation"), deliveries, risks, read(spark, sf_dir, "region")
+
+
 @query("""
 SELECT (SELECT count(*) FROM nation) AS organs, (SELECT count(*) FROM part) AS deliveries, (SELECT count(*) FROM orders) AS risks, (SELECT count(*) FROM orders WHERE o_orderkey % 9 = 0) AS risks_review,
   CAST((SELECT round(count(*) FILTER (o_orderkey % 4 < 3) / count(*), 4) FROM orders) AS DOUBLE) AS probability_rate, (SELECT count(*) FROM part) <= 100 * (SELECT count(*) FROM nation) AS deliveries_ok,
@@ -670,13 +680,64 @@ SELECT (SELECT count(*) FROM nation) AS organs, (SELECT count(*) FROM part) AS d
 """)
 def validation_report(spark, sf_dir):
     """RPT1: the nested report, some of its values."""
-    k = F.col("o_orderkey")
-    risks = read(spark, sf_dir, "orders").select(
-        k.alias("seq"), pick(k, ["raro", "provável", "muito provável", "xx"]).alias("probabilidade_normalizada"), F.lit("alto").alias("impacto_normalizado"), F.lit("mitigar").alias("tratamento_normalizado"), (k % 9 == 0).alias("needs_review")
-    )
-    deliveries = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("produto_normalizado"), F.col("p_type").alias("eixo_normalizado"), F.lit(False).alias("needs_review"))
-    r = metrics.validation_report(read(spark, sf_dir, "nation"), deliveries, risks, read(spark, sf_dir, "region"))
+    r = metrics.validation_report(*_report_tables(spark, sf_dir))
     return r.select(
         F.col("organs.n").alias("organs"), F.col("deliveries.n").alias("deliveries"), F.col("risks.n").alias("risks"), F.col("risks.review").alias("risks_review"),
         F.col("canonical.probability_rate").alias("probability_rate"), F.col("checks.deliveries").alias("deliveries_ok"), F.get("top_produto_normalizado", F.lit(0))["value"].alias("top_product"),
     )
+
+
+_SCALE_SQL = {
+    "probabilidade_normalizada": f"value IN ({', '.join(map(sql.quoted, vocab.PROBABILITY))})", "impacto_normalizado": f"value IN ({', '.join(map(sql.quoted, vocab.IMPACT))})",
+    "tratamento_normalizado": f"len(list_filter(string_split(value, ';'), lambda x: trim(x) <> '' AND NOT list_contains({sql.array(vocab.TREATMENT)}, trim(x)))) = 0",
+}
+_OK = "CASE field " + " ".join(f"WHEN '{f}' THEN coalesce({x}, false)" for f, x in _SCALE_SQL.items()) + " END"
+
+
+@query(f"""
+WITH r AS (SELECT o_orderkey AS k, {pick_sql('o_orderkey', ["raro", "provável", "muito provável", "xx"])} AS p, o_orderpriority AS i, {pick_sql('o_orderkey', ["mitigar", "Mitigar; Evitar", "Aceitar"])} AS t FROM orders),
+v AS (SELECT 'probabilidade_normalizada' AS field, p AS value, k FROM r UNION ALL SELECT 'impacto_normalizado', i, k FROM r UNION ALL SELECT 'tratamento_normalizado', t, k FROM r
+      UNION ALL SELECT 'produto_normalizado', p_name, p_partkey FROM part UNION ALL SELECT 'eixo_normalizado', p_type, p_partkey FROM part),
+c AS (SELECT field, value, count(*) AS n, min(k) AS f FROM v GROUP BY 1, 2),
+l AS (SELECT 'top' AS section, * FROM c UNION ALL SELECT 'non_canonical_top', * FROM c WHERE {_OK} = false),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY section, field ORDER BY n DESC, f, value) AS rank FROM l),
+ok AS (SELECT field, sum(CASE WHEN {_OK} THEN n ELSE 0 END) AS n, sum(n) AS total FROM c WHERE field IN ({', '.join(map(sql.quoted, _SCALE_SQL))}) GROUP BY 1),
+w AS (SELECT (SELECT count(*) FROM nation) AS o, (SELECT count(*) FROM part) AS d, (SELECT count(*) FROM orders) AS r)
+SELECT 'distributions' AS section, field, value AS name, NULL::INT AS rank, n::BIGINT AS n, NULL::DOUBLE AS rate, NULL::BOOLEAN AS passed FROM c
+UNION ALL SELECT section, field, value, rank::INT, n::BIGINT, NULL, NULL FROM ranked WHERE rank <= 20
+UNION ALL SELECT 'canonization', field, 'ok', NULL, n::BIGINT, round(n / total, 4), NULL FROM ok
+UNION ALL SELECT 'counts', 'organs', 'rows', NULL, o, NULL, NULL FROM w UNION ALL SELECT 'counts', 'deliveries', 'rows', NULL, d, NULL, NULL FROM w UNION ALL SELECT 'counts', 'risks', 'rows', NULL, r, NULL, NULL FROM w
+UNION ALL SELECT 'counts', 'errors', 'rows', NULL, count(*), NULL, NULL FROM region UNION ALL SELECT 'counts', 'deliveries', 'review', NULL, 0, NULL, NULL
+UNION ALL SELECT 'counts', 'risks', 'review', NULL, count(*), NULL, NULL FROM orders WHERE o_orderkey % 9 = 0
+UNION ALL SELECT 'thresholds', '', 'deliveries', NULL, NULL, d, d <= {vocab.LIMITS["deliveries_per_group"]} * o FROM w UNION ALL SELECT 'thresholds', '', 'risks', NULL, NULL, r, r <= {vocab.LIMITS["risks_per_group"]} * o FROM w
+UNION ALL SELECT 'thresholds', '', CASE field WHEN 'probabilidade_normalizada' THEN 'probability' WHEN 'impacto_normalizado' THEN 'impact' ELSE 'treatment' END, NULL, NULL, round(n / total, 4),
+  round(n / total, 4) >= CASE field WHEN 'probabilidade_normalizada' THEN {vocab.LIMITS["probability_share"]} WHEN 'impacto_normalizado' THEN {vocab.LIMITS["impact_share"]} ELSE {vocab.LIMITS["treatment_share"]} END FROM ok
+""")
+def report_values(spark, sf_dir):
+    """RPT1: every value of the report, distributions, lists, rates and thresholds, of one grouped pass."""
+    return metrics.report_rows(metrics.value_counts(*_report_tables(spark, sf_dir)))
+
+
+@query("""
+WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS orgao_sigla, coalesce(lang, '?') AS document_type, 'doc:' || doc_id AS url, '2025-01-01T00:00:00' AS "timestamp", coalesce(text, '') AS t, n_chars, source, lang FROM documents),
+e AS (
+  SELECT *, 1 AS o, 'download' AS stage, 'empty_document' AS error_type, 'no text' AS error_message FROM d WHERE trim(t) = ''
+  UNION ALL SELECT *, 2, 'download', 'small_document', length(t) || ' characters' FROM d WHERE length(t) < 200 AND trim(t) <> ''
+  UNION ALL SELECT *, 3, 'extraction', 'length_mismatch', length(t) || ' <> ' || n_chars FROM d WHERE length(t) >= 200 AND trim(t) <> '' AND length(t) <> n_chars
+  UNION ALL SELECT *, 4, 'extraction', 'no_heading', 'one line' FROM d WHERE length(t) >= 200 AND trim(t) <> '' AND NOT contains(t, chr(10))
+  UNION ALL SELECT *, 5, 'standardization', 'foreign', lang FROM d WHERE length(t) >= 200 AND trim(t) <> '' AND contains(t, chr(10)) AND lang <> 'en'
+)
+SELECT orgao_sigla, document_type, stage, error_type, error_message, "timestamp", url FROM e
+""")
+def error_table(spark, sf_dir):
+    """ERR1: errors of three stages and five kinds, in one table, of one scan."""
+    t = F.coalesce("text", F.lit(""))
+    checks = [
+        errors.Check("download", "empty_document", F.trim(t) == "", F.lit("no text")),
+        errors.Check("download", "small_document", F.length(t) < 200, F.concat(F.length(t), F.lit(" characters"))),
+        errors.Check("extraction", "length_mismatch", F.length(t) != F.col("n_chars"), F.concat(F.length(t), F.lit(" <> "), F.col("n_chars")), fatal=False),
+        errors.Check("extraction", "no_heading", ~F.contains(t, F.lit("\n")), F.lit("one line")),
+        errors.Check("standardization", "foreign", F.col("lang") != "en", F.col("lang"), fatal=False),
+    ]
+    key = F.col("doc_id").cast("string")
+    return errors.channel(read(spark, sf_dir, "documents"), checks, key, F.coalesce("lang", F.lit("?")), F.lit("2025-01-01T00:00:00"), F.concat(F.lit("doc:"), key))[1]

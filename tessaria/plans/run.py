@@ -1,15 +1,15 @@
 """Runs: from raw entries to published tables, in a fixed order, with gates; and whether what is published is current.
 
 ``python -m tessaria derive SOURCE OUT`` reads organs, deliveries, risks and errors (Parquet, or CSV
-with a header) from SOURCE and writes every derived table below OUT. ``--check`` writes nothing and
-fails if a table is stale, ``--gate`` fails if a floor or a limit is broken.
+with a header) from SOURCE and makes every derived table below OUT that is not current. ``--check``
+writes nothing and fails if a table is stale, ``--gate`` fails if a floor or a limit is broken,
+``--csv`` exports the published tables as ordered CSV below OUT/csv.
 """
 
 from __future__ import annotations
 
 import subprocess
 import sys
-from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,14 +18,23 @@ from pyspark.sql import functions as F
 from tessaria.functions import vocab
 from tessaria.operators import audit, coverage, harmonize, match, metrics, standardize, variations
 from tessaria.plans import schema
+from tessaria.plans.graph import Derivation, Table
+from tessaria.sources import export as csv_export
 from tessaria.sources import files
 
 ALLOWED = {"probabilidade_normalizada": vocab.PROBABILITY, "impacto_normalizado": vocab.IMPACT, "tratamento_normalizado": vocab.TREATMENT, "eixo_normalizado": vocab.AXES}
 #: Tables in the order in which they are derived, each with the columns that sort it.
 ORDER = {
-    "deliveries": ("seq",), "risks": ("seq",), "vocabulary": ("type", "original"), "coverage": ("sigla",), "harmonized_deliveries": ("seq",), "harmonized_risks": ("seq",),
-    "changes": ("tabela", "row", "campo"), "variations": ("entry_type", "field", "variation_type", "orgao_sigla", "original"),
+    "standardized_deliveries": ("seq",), "deliveries": ("seq",), "risks": ("seq",), "vocabulary": ("type", "original"), "coverage": ("sigla",), "harmonized_deliveries": ("seq",), "harmonized_risks": ("seq",),
+    "changes": ("tabela", "row", "campo"), "variations": ("entry_type", "field", "variation_type", "orgao_sigla", "original"), "report": ("section", "field", "rank", "name"),
 }
+#: Tables that are exported, with the columns that sort the export.
+PUBLISHED = {
+    "deliveries": ("orgao_sigla", "eixo_normalizado", "produto_normalizado", "servico_acao"), "risks": ("orgao_sigla", "risco_texto"),
+    "vocabulary": ("type", "original"), "coverage": ("sigla",), "report": ("section", "field", "rank", "name"),
+}
+#: To be changed with the tables' definitions, so that they are made again.
+VERSION = "3"
 
 
 def git_head(folder: str = ".") -> str:
@@ -59,56 +68,73 @@ def mapping(rows: DataFrame, kind: str, original: str, normalized: str, score: s
     return match.vocabulary_report(keyed, "v_key", normalized, score, "seq").select(F.lit(kind).alias("type"), "original", "normalized", "score", "count")
 
 
-def derive(spark: SparkSession, source: str, keep: Callable[[str, DataFrame], DataFrame]) -> None:
-    """Every derived table in order; what ``keep`` makes of one is what later ones are derived from."""
-    organs = load(spark, source, "organs", schema.ORGANS)
-    raw_d = with_seq(load(spark, source, "deliveries", schema.DELIVERIES), "orgao_sigla", "servico_acao", "produto_original")
-    raw_r = with_seq(load(spark, source, "risks", schema.RISKS), "orgao_sigla", "risco_texto", "probabilidade_original")
-    made_d, made_r = {"produto_normalizado", "produto_score", "produto_method", "eixo_normalizado", "eixo_score", "eixo_method"}, {f"{f}_{x}" for f in audit.SCALES for x in ("normalizada", "normalizado", "score", "method")}
-    all_d = files.cut(standardize.standardize_deliveries(files.cut(raw_d.drop(*made_d))))
-    deliveries = keep("deliveries", standardize.drop_fragments(all_d)[0])
-    audited = files.cut(audit.audit_risks(files.cut(raw_r.drop(*made_r))).drop("audit"))
-    risks = keep("risks", standardize.standardize_risks(audited))
-    vocabulary = mapping(all_d, "produto", "produto_original", "produto_normalizado", "produto_score").unionByName(mapping(all_d, "eixo", "eixo_original", "eixo_normalizado", "eixo_score"))
+def _standardized(raw: DataFrame) -> DataFrame:
+    made = {"produto_normalizado", "produto_score", "produto_method", "eixo_normalizado", "eixo_score", "eixo_method"}
+    return standardize.standardize_deliveries(files.cut(with_seq(raw, "orgao_sigla", "servico_acao", "produto_original").drop(*made)))
+
+
+def _risks(raw: DataFrame) -> DataFrame:
+    made = {f"{f}_{x}" for f in audit.SCALES for x in ("normalizada", "normalizado", "score", "method")}
+    numbered = files.cut(with_seq(raw, "orgao_sigla", "risco_texto", "probabilidade_original").drop(*made))
+    return standardize.standardize_risks(files.cut(audit.audit_risks(numbered).drop("audit")))
+
+
+def _vocabulary(all_d: DataFrame, risks: DataFrame) -> DataFrame:
+    out = mapping(all_d, "produto", "produto_original", "produto_normalizado", "produto_score").unionByName(mapping(all_d, "eixo", "eixo_original", "eixo_normalizado", "eixo_score"))
     for name, normalized in variations.RISK_FIELDS.items():
-        vocabulary = vocabulary.unionByName(mapping(risks, name, f"{name}_original", normalized, f"{name}_score"))
-    keep("vocabulary", vocabulary)
-    keep("coverage", coverage.coverage(organs, deliveries, risks))
-    fine_d, log_d = harmonize.harmonize_table(deliveries.withColumn("row", F.col("seq")), ALLOWED)
-    fine_r, log_r = harmonize.harmonize_table(risks.withColumn("row", F.col("seq")), ALLOWED)
-    keep("harmonized_deliveries", fine_d.drop("row"))
-    keep("harmonized_risks", fine_r.drop("row"))
-    keep("changes", log_d.withColumn("tabela", F.lit("deliveries")).unionByName(log_r.withColumn("tabela", F.lit("risks"))))
-    keep("variations", variations.catalogue(deliveries, risks))
+        out = out.unionByName(mapping(risks, name, f"{name}_original", normalized, f"{name}_score"))
+    return out
+
+
+def _harmonized(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return harmonize.harmonize_table(df.withColumn("row", F.col("seq")), ALLOWED)
 
 
-def publish(spark: SparkSession, source: str, out: str) -> None:
-    """Writes every derived table as sorted Parquet; later tables are derived from what is written."""
+def _changes(deliveries: DataFrame, risks: DataFrame) -> DataFrame:
+    log = lambda df, name: _harmonized(df)[1].withColumn("tabela", F.lit(name))
+    return log(deliveries, "deliveries").unionByName(log(risks, "risks"))
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        df.orderBy(*ORDER[name]).write.mode("overwrite").parquet(f"{out}/{name}")
-        return spark.read.parquet(f"{out}/{name}")
 
-    derive(spark, source, keep)
+def _report(organs: DataFrame, deliveries: DataFrame, risks: DataFrame, errors: DataFrame) -> DataFrame:
+    return metrics.report_rows(files.cut(metrics.value_counts(organs, deliveries, risks, errors)))
+
+
+def tables() -> list[Table]:
+    """Every derived table, each after what it is made from."""
+    makes = {
+        "standardized_deliveries": (("source_deliveries",), _standardized),
+        "deliveries": (("standardized_deliveries",), lambda all_d: standardize.drop_fragments(all_d)[0]),
+        "risks": (("source_risks",), _risks),
+        "vocabulary": (("standardized_deliveries", "risks"), _vocabulary),
+        "coverage": (("source_organs", "deliveries", "risks"), coverage.coverage),
+        "harmonized_deliveries": (("deliveries",), lambda df: _harmonized(df)[0].drop("row")),
+        "harmonized_risks": (("risks",), lambda df: _harmonized(df)[0].drop("row")),
+        "changes": (("deliveries", "risks"), _changes),
+        "variations": (("deliveries", "risks"), variations.catalogue),
+        "report": (("source_organs", "deliveries", "risks", "source_errors"), _report),
+    }
+    return [Table(name, inputs, make, ORDER[name]) for name, (inputs, make) in makes.items()]
+
+
+def derivation(spark: SparkSession, source: str, out: str) -> Derivation:
+    """The derived tables below OUT, over what SOURCE has."""
+    fields = {"organs": schema.ORGANS, "deliveries": schema.DELIVERIES, "risks": schema.RISKS, "errors": schema.ERRORS}
+    return Derivation(spark, tables(), {f"source_{n}": (lambda n=n, f=f: load(spark, source, n, f)) for n, f in fields.items()}, out, VERSION)
+
+
+def publish(spark: SparkSession, source: str, out: str) -> list[str]:
+    """Makes every derived table that is not current, as sorted Parquet, and returns the names of those."""
+    return derivation(spark, source, out).update(verify=True)
 
 
 def stale(spark: SparkSession, source: str, out: str) -> list[str]:
-    """Names of the tables below OUT that differ from what SOURCE gives, or are missing."""
-    bad = []
+    """Names of the tables below OUT that are not made from what SOURCE has, are damaged, or are missing."""
+    return derivation(spark, source, out).stale()
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        df = files.cut(df)
-        try:
-            committed = spark.read.parquet(f"{out}/{name}")
-        except AnalysisException:
-            bad.append(name)
-            return df
-        if sorted(committed.columns) != sorted(df.columns) or not files.differences(df, committed.select(*df.columns)).isEmpty():
-            bad.append(name)
-        return df
 
-    derive(spark, source, keep)
-    return bad
+def export(spark: SparkSession, out: str, to: str) -> dict[str, dict]:
+    """The published tables as ordered CSV exports below ``to``: their manifests by name."""
+    return {name: csv_export.write(spark.read.parquet(f"{out}/{name}"), f"{to}/{name}", *order) for name, order in PUBLISHED.items()}
 
 
 def quality_gate(spark: SparkSession, source: str, out: str) -> None:
@@ -133,7 +159,7 @@ def comparable(value: dict) -> dict:
 
 def main(args: list[str]) -> int:
     flags, names = {a for a in args if a.startswith("--")}, [a for a in args if not a.startswith("--")]
-    if len(names) != 3 or names[0] != "derive" or flags - {"--check", "--gate"}:
+    if len(names) != 3 or names[0] != "derive" or flags - {"--check", "--gate", "--csv"}:
         print(__doc__)
         return 2
     spark = SparkSession.builder.appName("tessaria").getOrCreate()
@@ -142,7 +168,9 @@ def main(args: list[str]) -> int:
         bad = stale(spark, source, out)
         print("\n".join(f"stale: {n}" for n in bad) or "current")
         return int(bool(bad))
-    publish(spark, source, out)
+    print("\n".join(f"made: {n}" for n in publish(spark, source, out)) or "current")
+    if "--csv" in flags:
+        export(spark, out, f"{out}/csv")
     if "--gate" in flags:
         try:
             quality_gate(spark, source, out)
