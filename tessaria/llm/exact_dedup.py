@@ -21,6 +21,8 @@ HEAVY_SHARE = 1 / 1000
 TRACKED, CANDIDATES = 10_000, 2_000
 #: Summaries that one task merges.
 FAN_IN = 64
+#: Up to so many rows that lose are broadcast, and no text is shuffled; with more that is a join.
+BROADCAST_ROWS = 1_000_000
 
 
 def digest(text_col: str):
@@ -76,13 +78,20 @@ def drop_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "doc_id
     """
     keys = stored(df.select(F.col(id_col).alias("k_id"), digest(text_col).alias("k_digest")), "digests")
     heavy = F.broadcast(heavy_digests(keys, "k_digest", "k_id", heavy_share))
+    light = keys.join(heavy, F.col("k_digest") == F.col("h_digest"), "left_anti")
+    each = light.groupBy("k_digest", "k_id").agg(F.count("*").alias("n"))
+    last = F.max(F.struct("k_id")).over(W.partitionBy("k_digest"))  # null is smaller than any id
+    decided = stored(each.withColumn("keep", last).filter(~F.col("k_id").eqNullSafe(F.col("keep.k_id")) | (F.col("n") > 1)), "decided")
+    losers, repeats = decided.filter(~F.col("k_id").eqNullSafe(F.col("keep.k_id"))).select("k_digest", "k_id"), decided.filter(F.col("k_id").eqNullSafe(F.col("keep.k_id"))).select("k_digest")
+    small = lambda x: F.broadcast(x) if x.count() <= BROADCAST_ROWS else x
     wide = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), digest(text_col).alias("digest"))
-    tried = wide.join(heavy, F.col("digest") == F.col("h_digest"), "left")
-    # of a heavy group only the rows of the id that stays leave the map side; repeats of it meet in a combining aggregate
-    winners = tried.filter(F.col("h_digest").isNotNull() & F.col("id").eqNullSafe(F.col("h_keep"))).dropDuplicates(["digest"])
-    first = W.partitionBy("digest").orderBy(F.col("id").desc_nulls_last())
-    rest = tried.filter(F.col("h_digest").isNull()).withColumn("nth", F.row_number().over(first)).filter("nth = 1")
-    return winners.select("row").unionByName(rest.select("row")).select(*[F.col("row")[c].alias(c) for c in df.columns])
+    tried = wide.join(heavy, F.col("digest") == F.col("h_digest"), "left").filter(F.col("h_digest").isNull() | F.col("id").eqNullSafe(F.col("h_keep")))
+    tried = tried.join(small(losers), (F.col("digest") == F.col("k_digest")) & F.col("id").eqNullSafe(F.col("k_id")), "left_anti")
+    # of what stays, only rows that repeat both id and text still have to meet
+    again = repeats.unionByName(heavy.select(F.col("h_digest").alias("k_digest")))
+    marked = tried.join(small(again.withColumn("again", F.lit(True))), F.col("digest") == F.col("k_digest"), "left")
+    alone, several = marked.filter(F.col("again").isNull()), marked.filter(F.col("again").isNotNull()).dropDuplicates(["digest"])
+    return alone.select("row").unionByName(several.select("row")).select(*[F.col("row")[c].alias(c) for c in df.columns])
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 
+import pytest
 from tests.llm.conftest import ODD
 
 from tessaria.llm import exact_dedup as x
@@ -33,7 +34,9 @@ def test_marks_every_row(documents):
             assert r.text_sha256 == hashlib.sha256(t.encode()).hexdigest()
 
 
-def test_drop_keeps_one_of_each(documents):
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_drop_keeps_one_of_each(documents, monkeypatch, broadcast):
+    monkeypatch.setattr(x, "BROADCAST_ROWS", broadcast)
     texts = ODD + ["hot"] * 300
     ids = [*range(len(texts) - 2), 5, None]  # a repeated id, a null id
     out = x.drop_duplicates(documents(texts, ids), heavy_share=0.2)
