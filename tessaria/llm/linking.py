@@ -153,7 +153,7 @@ def verified(pairs: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likenes
     differ = F.aggregate(F.zip_with("a_cells", "p_cells", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sized = rule.possible(F.col("a_n"), F.lit(0), F.col("p_n"), F.lit(0))
     close = stored(one.join(own, F.col("b") == F.col("p_node")).filter(sized & rule.near(differ, F.col("a_n") + F.col("p_n"))).select("a", "b"), "close")
-    wanted = few(close.select(F.explode(F.array("a", "b")).alias("w_row")).distinct())
+    wanted = few(stored(close.select(F.explode(F.array("a", "b")).alias("w_row")).distinct(), "wanted"))
     own = texts.join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
     left = close.join(own, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
     return stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike(rule, F.col("ta"), F.col("t")).alias("alike")).filter("alike").select("a", "b"), "links")
