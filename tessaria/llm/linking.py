@@ -32,6 +32,8 @@ LIMIT = 128
 ROUNDS = ((0,), (1, 2, 3))
 #: How many of its most promising partners in a piece a text that is still apart is compared with, before all.
 PARTNERS = 4
+#: Of a text's keys, how many it looks for these partners in: the first in the order of a hash, which texts that share many keys tend to share too.
+LOOKED_IN = 4
 #: With at most so many buckets, or pairs, to look up, their numbers are broadcast; with more that is a join.
 BROADCAST_PAIRS = 1_000_000
 
@@ -167,7 +169,8 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
     key. ``cells`` has (node, n, parity), ``texts`` (t_row, t). ``seeds`` are pairs to compare first.
     In each round of ``ROUNDS`` a node meets the first member of all its keys in the order of a hash,
     as long as that is of another group. Then members of different groups meet within a key, a large
-    key's in parts of about ``LIMIT``: first the most promising pairs, then all that are possible.
+    key's in parts of about ``LIMIT``: first the most promising pairs in a few keys of each, then all
+    that are possible.
     """
     names = [F.col(c) for c in ("token", "node", "n", "pos", "size")]
     links = None if seeds is None else verified(seeds, cells, texts, rule)
@@ -196,7 +199,11 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
         links = joined(links, pairs)
     for most in (PARTNERS, None):
         parts = F.ceil(F.col("size") / LIMIT).cast("int")
-        cut = still_apart(links).join(own, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+        state = still_apart(links)
+        if most is not None:
+            ordered = F.array_sort(F.collect_list(F.struct(F.xxhash64("token").alias("h"), *names, "group")))  # one text's keys
+            state = state.groupBy("node").agg(F.slice(ordered, 1, LOOKED_IN).alias("r")).select(F.explode("r").alias("r")).select(*[F.col(f"r.{c}") for c in ("token", "node", "n", "pos", "size", "group")])
+        cut = state.join(own, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
         cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
         cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
         rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("i") != F.col("j"), most)).alias("l"))
