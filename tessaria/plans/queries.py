@@ -687,11 +687,11 @@ def validation_report(spark, sf_dir):
     )
 
 
-_SCALE_SQL = {
+_ON_SCALE_SQL = {
     "probabilidade_normalizada": f"value IN ({', '.join(map(sql.quoted, vocab.PROBABILITY))})", "impacto_normalizado": f"value IN ({', '.join(map(sql.quoted, vocab.IMPACT))})",
     "tratamento_normalizado": f"len(list_filter(string_split(value, ';'), lambda x: trim(x) <> '' AND NOT list_contains({sql.array(vocab.TREATMENT)}, trim(x)))) = 0",
 }
-_OK = "CASE field " + " ".join(f"WHEN '{f}' THEN coalesce({x}, false)" for f, x in _SCALE_SQL.items()) + " END"
+_IS_CANONICAL = "CASE field " + " ".join(f"WHEN '{f}' THEN coalesce({x}, false)" for f, x in _ON_SCALE_SQL.items()) + " END"
 
 
 @query(f"""
@@ -699,9 +699,9 @@ WITH r AS (SELECT o_orderkey AS k, {pick_sql('o_orderkey', ["raro", "provável",
 v AS (SELECT 'probabilidade_normalizada' AS field, p AS value, k FROM r UNION ALL SELECT 'impacto_normalizado', i, k FROM r UNION ALL SELECT 'tratamento_normalizado', t, k FROM r
       UNION ALL SELECT 'produto_normalizado', p_name, p_partkey FROM part UNION ALL SELECT 'eixo_normalizado', p_type, p_partkey FROM part),
 c AS (SELECT field, value, count(*) AS n, min(k) AS f FROM v GROUP BY 1, 2),
-l AS (SELECT 'top' AS section, * FROM c UNION ALL SELECT 'non_canonical_top', * FROM c WHERE {_OK} = false),
+l AS (SELECT 'top' AS section, * FROM c UNION ALL SELECT 'non_canonical_top', * FROM c WHERE {_IS_CANONICAL} = false),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY section, field ORDER BY n DESC, f, value) AS rank FROM l),
-ok AS (SELECT field, sum(CASE WHEN {_OK} THEN n ELSE 0 END) AS n, sum(n) AS total FROM c WHERE field IN ({', '.join(map(sql.quoted, _SCALE_SQL))}) GROUP BY 1),
+ok AS (SELECT field, sum(CASE WHEN {_IS_CANONICAL} THEN n ELSE 0 END) AS n, sum(n) AS total FROM c WHERE field IN ({', '.join(map(sql.quoted, _ON_SCALE_SQL))}) GROUP BY 1),
 w AS (SELECT (SELECT count(*) FROM nation) AS o, (SELECT count(*) FROM part) AS d, (SELECT count(*) FROM orders) AS r)
 SELECT 'distributions' AS section, field, value AS name, NULL::INT AS rank, n::BIGINT AS n, NULL::DOUBLE AS rate, NULL::BOOLEAN AS passed FROM c
 UNION ALL SELECT section, field, value, rank::INT, n::BIGINT, NULL, NULL FROM ranked WHERE rank <= 20
