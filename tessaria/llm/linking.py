@@ -161,6 +161,39 @@ def verified(pairs: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likenes
     return stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike(rule, F.col("ta"), F.col("t")).alias("alike")).filter("alike").select("a", "b"), "links")
 
 
+def _dealt(state: DataFrame) -> DataFrame:
+    """The rows of ``state`` dealt to cells of keys, so that members of different groups meet once.
+
+    A key with at most ``LIMIT`` members is one cell. In a larger one the members of its largest group
+    never meet each other: they are cut into parts, and so are the others; every part of the group
+    meets every part of the others, and the others' parts meet among themselves. So a key with
+    members of one large group and a few others deals only these few to many cells. Gives
+    (token, node, n, pos, group, part, cell), the cell as (across, i, j); keys of one group are dropped.
+    """
+    counts = state.groupBy("token", "group").agg(F.count("*").alias("k")).groupBy("token")
+    tops = counts.agg(F.max(F.struct("k", "group")).alias("top"), F.sum("k").alias("all")).filter(F.col("all") > F.col("top.k"))
+    main_parts, other_parts = F.ceil(F.col("top.k") / LIMIT), F.ceil((F.col("all") - F.col("top.k")) / LIMIT)
+    tops = stored(tops.select(F.col("token").alias("m_token"), F.col("top.group").alias("main"), "all", main_parts.cast("int").alias("mains"), other_parts.cast("int").alias("others")), "tops")
+    cut = state.join(few(tops), F.col("token") == F.col("m_token")).withColumn("in_main", F.col("group") == F.col("main"))
+    at = F.pmod(F.xxhash64("node"), F.when(F.col("in_main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
+    cut = cut.withColumn("at", at)
+
+    def cell(across: Column, i: Column, j: Column) -> Column:
+        return F.struct(across.alias("across"), i.alias("i"), j.alias("j"))
+
+    def numbers(of: str) -> Column:
+        return F.sequence(F.lit(0), F.col(of) - 1)
+
+    alone = F.array(cell(F.lit(False), F.lit(0), F.lit(0)))
+    mains = F.transform(numbers("others"), lambda k: cell(F.lit(True), F.col("at"), k))
+    meet = F.transform(numbers("mains"), lambda k: cell(F.lit(True), k, F.col("at")))
+    # the others' own cells have negative numbers
+    among = F.transform(numbers("others"), lambda k: cell(k != F.col("at"), -1 - F.least(k, "at"), F.greatest(k, "at")))
+    cells = F.when(F.col("all") <= LIMIT, alone).when(F.col("in_main"), mains).otherwise(F.concat(meet, among))
+    part = F.when(F.col("in_main"), -1).otherwise(F.col("at"))
+    return cut.select("token", "node", "n", "pos", "group", part.alias("part"), F.explode(cells).alias("cell"))
+
+
 def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness, seeds: DataFrame | None = None) -> DataFrame:
     """Links (a, b) that connect the nodes exactly as all alike pairs with a common key do.
 
@@ -169,7 +202,7 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
     key. ``cells`` has (node, n, parity), ``texts`` (t_row, t). ``seeds`` are pairs to compare first.
     In each round of ``ROUNDS`` a node meets the first member of all its keys in the order of a hash,
     as long as that is of another group. Then members of different groups meet within a key, a large
-    key's in parts of about ``LIMIT``: first the most promising pairs in a few keys of each, then all
+    key's in parts of about ``LIMIT`` (``_dealt``): first the most promising pairs in a few keys of each, then all
     that are possible.
     """
     names = [F.col(c) for c in ("token", "node", "n", "pos", "size")]
@@ -198,14 +231,12 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
         pairs = met.select(F.col("node").alias("a"), F.explode(F.array_compact(F.array(*[f"f{k}.node" for k in orders]))).alias("b"))
         links = joined(links, pairs)
     for most in (PARTNERS, None):
-        parts = F.ceil(F.col("size") / LIMIT).cast("int")
         state = still_apart(links)
         if most is not None:
             ordered = F.array_sort(F.collect_list(F.struct(F.xxhash64("token").alias("h"), *names, "group")))  # one text's keys
             state = state.groupBy("node").agg(F.slice(ordered, 1, LOOKED_IN).alias("r")).select(F.explode("r").alias("r")).select(*[F.col(f"r.{c}") for c in ("token", "node", "n", "pos", "size", "group")])
-        cut = state.join(own, F.col("node") == F.col("c_node")).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
-        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        cut = cut.groupBy("token", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
-        rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("i") != F.col("j"), most)).alias("l"))
+        pieces = _dealt(stored(state, "open")).join(own, F.col("node") == F.col("c_node"))
+        cut = pieces.groupBy("token", "cell").agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
+        rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("cell.across"), most)).alias("l"))
         links = joined(links, rest.select("l.a", "l.b"))
     return links
