@@ -26,8 +26,8 @@ from tessaria.llm.components import components
 SEED = 42
 #: Cells of shingles whose parity is kept for each text: a power of two.
 CELLS = 1024
-#: The largest group of a key's members that are compared in one piece.
-LIMIT = 128
+#: About how many of a key's members make a part: two parts at most are compared in one piece, so it bounds a task's memory (some 200 bytes a member, some 50 MB for the pairs); rows of large keys are copied once for each such number.
+LIMIT = 512
 #: The rounds in which texts are compared with a few others by chance: each number is an order by hash, and in a round a text meets the first of all its keys' members in each order.
 ROUNDS = ((0,), (1, 2, 3))
 #: How many of its most promising partners in a piece a text that is still apart is compared with, before all.
