@@ -5,12 +5,16 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: Spark's setting by which a query that has ended leaves no shuffle files.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,14 +57,30 @@ def shared_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written in here leaves no shuffle files behind; else they stay until the driver collects garbage."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back, which cuts the lineage.
 
-    Any executor can read the files again, so a lost executor costs nothing that is in them.
+    Any executor can read the files again, so a lost executor costs nothing that is in them, and
+    nothing needs the shuffle files that led to them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_freed(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

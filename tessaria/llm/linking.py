@@ -209,12 +209,15 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
     links = None if seeds is None else verified(seeds, cells, texts, rule)
     own = cells.select(F.col("node").alias("c_node"), "parity")
 
-    def still_apart(links: DataFrame | None) -> DataFrame:
-        """The rows of keys whose members are in several groups, with each one's group."""
+    def grouped(links: DataFrame | None) -> DataFrame:
+        """All rows with each one's group."""
         if links is None:
             return held.select(*names, F.col("node").alias("group"))
         groups = stored(components(links, "a", "b"), "groups").withColumnRenamed("node", "g_node")
-        state = stored(held.join(few(groups), F.col("node") == F.col("g_node"), "left").select(*names, F.coalesce("root", "node").alias("group")), "grouped")
+        return stored(held.join(few(groups), F.col("node") == F.col("g_node"), "left").select(*names, F.coalesce("root", "node").alias("group")), "grouped")
+
+    def still_apart(state: DataFrame) -> DataFrame:
+        """The rows of keys whose members are in several groups."""
         several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
         return state.join(few(several), "token", "left_semi")
 
@@ -223,19 +226,22 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
         return found if links is None else links.unionByName(found)
 
     for orders in ROUNDS:
-        state = still_apart(links)
+        state = grouped(links)
         firsts = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "group")).alias(f"f{k}") for k in orders]
-        first = stored(state.groupBy("token").agg(*firsts).withColumnRenamed("token", "f_token"), "first")
+        first = state.groupBy("token").agg(*firsts, F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi")  # members in several groups
+        first = stored(first.drop("lo", "hi").withColumnRenamed("token", "f_token"), "first")
         other = [F.min(F.when(F.col("group") != F.col(f"f{k}.group"), F.col(f"f{k}"))).alias(f"f{k}") for k in orders]
         met = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(*other)
         pairs = met.select(F.col("node").alias("a"), F.explode(F.array_compact(F.array(*[f"f{k}.node" for k in orders]))).alias("b"))
         links = joined(links, pairs)
     for most in (PARTNERS, None):
-        state = still_apart(links)
+        state = grouped(links)
         if most is not None:
+            state = still_apart(state)
             ordered = F.array_sort(F.collect_list(F.struct(F.xxhash64("token").alias("h"), *names, "group")))  # one text's keys
             state = state.groupBy("node").agg(F.slice(ordered, 1, LOOKED_IN).alias("r")).select(F.explode("r").alias("r")).select(*[F.col(f"r.{c}") for c in ("token", "node", "n", "pos", "size", "group")])
-        pieces = _dealt(stored(state, "open")).join(own, F.col("node") == F.col("c_node"))
+            state = stored(state, "open")
+        pieces = _dealt(state).join(own, F.col("node") == F.col("c_node"))
         cut = pieces.groupBy("token", "cell").agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
         rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("cell.across"), most)).alias("l"))
         links = joined(links, rest.select("l.a", "l.b"))

@@ -199,6 +199,16 @@ def _prefixes(text: Column, late: np.ndarray) -> Column:
     return F.pandas_udf(run, T.StructType().add("n", "integer").add("tokens", T.ArrayType(T.LongType())).add("fp", "long").add("parity", T.ArrayType(T.LongType())))(text)
 
 
+def _has_any(tokens: str, wanted: np.ndarray) -> Column:
+    """Whether a row's tokens hold any of the wanted ones, of which there is one at least."""
+    known = np.sort(wanted)
+
+    def run(tokens: pd.Series) -> pd.Series:
+        return pd.Series([bool((known[np.minimum(np.searchsorted(known, t), len(known) - 1)] == t).any()) for t in tokens], dtype=bool)
+
+    return F.pandas_udf(run, T.BooleanType())(tokens)
+
+
 def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (a, b) that connect the nodes exactly as all pairs alike to 0.8 do.
 
@@ -212,16 +222,17 @@ def near_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     within = radius_links(prints.select("fp"))
     named = within.join(prints, F.col("a") == F.col("fp")).select(F.col("first").alias("x"), "b").join(prints, F.col("b") == F.col("fp")).select(F.col("x").alias("a"), F.col("first").alias("b"))
     seeds = equal.unionByName(named)
-    sizes = shared_keys(nodes)
+    prefixes, sizes = nodes.select("node", "n", "tokens"), shared_keys(nodes)
     heavy = stored(sizes.filter(F.col("size") > LIMIT).orderBy(F.desc("size"), "token").limit(LATE), "late")  # LATE rows at most
     order = np.array([r[0] for r in heavy.orderBy("size", F.desc("token")).select("token").toLocalIterator()], dtype=np.int64)
     if len(order):
-        heavy = F.broadcast(heavy.select("token"))
-        touched = stored(nodes.select("node", F.explode("tokens").alias("token")).join(heavy, "token", "left_semi").select("node").distinct(), "touched")
-        again = texts.join(few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p")).select("node", "p.*")
-        nodes = stored(nodes.join(few(touched), "node", "left_anti").select(*again.columns).unionByName(again), "nodes")
-        sizes = shared_keys(nodes)
-    held = stored(nodes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(few(sizes), "token"), "held")
+        # prefixes without any of these are the same in the new order, and aren't written again
+        touched = stored(nodes.filter(_has_any("tokens", order)).select("node"), "touched")
+        again = texts.join(few(touched), F.col("t_row") == F.col("node"), "left_semi").select(F.col("t_row").alias("node"), _prefixes(F.col("t"), order).alias("p"))
+        again = stored(again.select("node", "p.n", "p.tokens"), "again")
+        prefixes = nodes.filter(~_has_any("tokens", order)).select("node", "n", "tokens").unionByName(again)
+        sizes = shared_keys(prefixes)
+    held = stored(prefixes.select("node", "n", F.posexplode("tokens").alias("pos", "token")).join(few(sizes), "token"), "held")
     return connect(held, nodes.select("node", "n", "parity"), texts, RULE, seeds)
 
 
@@ -240,10 +251,15 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     rows = stored(df.withColumn(n["row"], F.monotonically_increasing_id()), "rows")
     # rows of equal texts are one node, named by its smallest row number
     own_id = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("bigint").alias("id"), F.col(n["row"]).alias("row"))
-    keyed = stored(rows.select(own_id.alias("own"), F.sha2(text_of(text_col), 256).alias("same"), _prefixes(text_of(text_col), np.zeros(0, dtype=np.int64)).alias("p")), "prefixes")
-    nodes = stored(keyed.groupBy("same").agg(F.min("own.row").alias("node"), F.min("p").alias("p")).select("same", "node", "p.*"), "nodes")
-    links = near_links(nodes.drop("same"), rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
+    prefixes = _prefixes(text_of(text_col), np.zeros(0, dtype=np.int64))
+    keyed = stored(rows.select(own_id.alias("own"), F.unhex(F.sha2(text_of(text_col), 256)).alias("same"), prefixes.alias("p")).select("own", "same", "p.*"), "prefixes")
+    same = keyed.select("same", F.col("own.row").alias("repeat"))
+    repeats = same.join(same.groupBy("same").agg(F.min("repeat").alias("rep")), "same").filter("repeat != rep").select("repeat", "rep")
+    repeats = few(stored(repeats, "repeats"))
+    # the others are the nodes: they stay where their prefixes were written
+    nodes = keyed.join(repeats, F.col("own.row") == F.col("repeat"), "left_anti").select(F.col("own.row").alias("node"), "n", "tokens", "fp", "parity")
+    links = near_links(nodes, rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
     roots = components(links, "a", "b")
-    grouped = keyed.join(nodes.select("same", F.col("node").alias("rep")), "same").select("own", "rep").join(roots, F.col("rep") == F.col("node"), "left")
+    grouped = keyed.select("own").join(repeats, F.col("own.row") == F.col("repeat"), "left").select("own", F.coalesce("rep", "own.row").alias("rep")).join(roots, F.col("rep") == F.col("node"), "left")
     least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias(n["keep"]))
     return rows.join(least, F.col(n["row"]) == F.col(n["keep"]), "left_semi").select(*df.columns)
