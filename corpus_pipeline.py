@@ -28,13 +28,17 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix: any prefix of the files holds the sources at their target weights."""
-    return mixing.mixed_order(docs)
+    """All documents in the order of the mix: any prefix of the files holds the sources at their target weights.
+
+    The source column carries these weights to the next stage.
+    """
+    weights = mixing.target_weights(docs)
+    return mixing.with_targets(mixing.mixed_order(docs, weights=weights), weights)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in windows of 4096 tokens at the mix's target weights, each source's in the order of the mix."""
-    return packing.pack(docs, packing.tokenizer_path(), weights=mixing.target_weights(docs), order=mixing.queue_order())
+    """Pieces of all documents in windows of 4096 tokens at the weights that the mix left with them, each source's in the order of its rows."""
+    return packing.pack(docs, packing.tokenizer_path(), weights=mixing.targets(docs), in_order=True)
 
 
 STAGES = [

@@ -32,6 +32,8 @@ PERIOD = 100_000
 TEMPER = 0.5
 #: Slots planned at a stretch.
 STRETCH = 500
+#: Under this name a mixed table's source column carries the weights that it was mixed by.
+TARGETS = "mix_targets"
 
 
 def _key(source: Column) -> Column:
@@ -83,6 +85,18 @@ def target_weights(df: DataFrame, source_col: str = "source", text_col: str = "t
     return {None if k == "none" else k[2:]: v for k, v in due.items()}
 
 
+def with_targets(df: DataFrame, weights: dict[str | None, int], source_col: str = "source") -> DataFrame:
+    """``df`` whose source column carries ``weights`` in its metadata, which Parquet files keep."""
+    named = {"none" if k is None else f"s:{k}": v for k, v in weights.items()}
+    return df.withMetadata(source_col, df.schema[source_col].metadata | {TARGETS: named})
+
+
+def targets(df: DataFrame, source_col: str = "source") -> dict[str | None, int] | None:
+    """The weights that ``with_targets`` left, None if there are none."""
+    named = df.schema[source_col].metadata.get(TARGETS)
+    return None if named is None else {None if k == "none" else k[2:]: v for k, v in named.items()}
+
+
 def period(due: DataFrame) -> DataFrame:
     """(m_key, m_no, m_slot, m_due, m_period): the slots of one period, by earliest deadline first.
 

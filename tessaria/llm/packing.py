@@ -15,7 +15,7 @@ end together and only the last window has padding.
 
 Tokenising writes each partition's ids, with the tokens of its source before each document, to
 the shared folder. Only the tokens per (source, partition) are summed up to place a document in
-its queue: texts and ids are never shuffled, unless the caller orders the queues.
+its queue: texts and ids are never shuffled, not even if queues follow the order of the rows.
 """
 
 from __future__ import annotations
@@ -29,12 +29,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tessaria.llm.common import shared_dir, stored, table, text_of
-from tessaria.llm.mixing import SPLIT_DIGITS
 
 WINDOW, END = 4096, 2
 VOCABULARY = "word_bpe_49k.json"
@@ -111,24 +111,36 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
-def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path: str, order: Column | None = None) -> DataFrame:
+def _at_place(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """The columns of ``df``, and the file and the first byte of the piece of it that a row is read from.
+
+    Partitions of a scan don't follow the order of files. Rows that come from several tables are
+    not read but shuffled, and their partitions do: for them both are constant.
+    """
+    try:
+        return df.select(*columns, F.input_file_name().alias("file"), F.input_file_block_start().alias("block"))
+    except AnalysisException:
+        return df.select(*columns, F.lit("").alias("file"), F.lit(-1).cast("bigint").alias("block"))
+
+
+def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path: str, in_order: bool = False) -> DataFrame:
     """(doc_id, source, part, before, tokens, ids): ids end with ``END``; before counts its source's tokens in the partition.
 
-    With an ``order`` also (digest, chars): that, and the characters of the text.
+    ``in_order`` also gives (file, block), see ``_at_place``, and before counts in these.
     """
-    more = [] if order is None else [order.alias("digest"), F.length(text_of(text_col)).cast("bigint").alias("chars")]
-    carried = ["digest", "chars"][: len(more)]
+    carried = ["file", "block"] if in_order else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, part, before = word_ids(path), TaskContext.get().partitionId(), {}
         for batch in batches:
             ids, lengths, starts = [], [], []
             sources = batch.column("source").to_pylist()
-            for source, text in zip(sources, batch.column("text"), strict=True):
+            queues = zip(sources, *(batch.column(c).to_pylist() for c in carried), strict=True)
+            for queue, text in zip(queues, batch.column("text"), strict=True):
                 own = words.of(text.as_py())
                 n = len(own) + 1
-                starts.append(before.get(source, 0))
-                before[source] = starts[-1] + n
+                starts.append(before.get(queue, 0))
+                before[queue] = starts[-1] + n
                 lengths.append(n)
                 ids.append(own.tobytes() + END.to_bytes(2, "little"))
             yield pa.RecordBatch.from_arrays(
@@ -136,8 +148,9 @@ def tokenised(df: DataFrame, source_col: str, text_col: str, id_col: str, path:
                 names=["doc_id", "source", "part", "before", "tokens", "ids", *carried],
             )
 
-    rows = df.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.concat(F.lit("s:"), F.col(source_col)), F.lit("none")).alias("source"), text_of(text_col).alias("text"), *more)
-    return rows.mapInArrow(run, "doc_id bigint, source string, part bigint, before bigint, tokens bigint, ids binary" + ", digest string, chars bigint" * bool(more))
+    columns = [F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.concat(F.lit("s:"), F.col(source_col)), F.lit("none")).alias("source"), text_of(text_col).alias("text")]
+    rows = _at_place(df, columns) if in_order else df.select(*columns)
+    return rows.mapInArrow(run, "doc_id bigint, source string, part bigint, before bigint, tokens bigint, ids binary" + ", file string, block bigint" * in_order)
 
 
 class Mixture:
@@ -209,33 +222,31 @@ def pack(
     id_col: str = "doc_id",
     weights: dict[str | None, int] | None = None,
     with_ids: bool = False,
-    order: Column | None = None,
+    in_order: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and the ids).
 
     ``path`` is the vocabulary file of a public tokenizer with under 65,536 ids. Null and empty
     texts have one token, the end; null sources are a source of their own; repeated rows are
     packed as often as they occur; an empty table gives an empty result. A null id stays null.
-    Queues follow the scan, or ``order``, a column of hex digests; then id and length break ties.
+    Queues follow the scan; ``in_order`` they follow the rows: of a table that is read from files,
+    as Spark numbers the files it writes, else of the partitions.
     """
     spark = df.sparkSession
     shared_dir(spark)
-    ids = stored(tokenised(df, source_col, text_col, id_col, path, order), "tokens")
-    if order is not None:
-        # a queue's running sum is split by digest prefix, so that no task holds more than 16 ** -SPLIT_DIGITS of a source
-        cell = F.conv(F.substring("digest", 1, SPLIT_DIGITS), 16, 10).cast("bigint")
-        within = W.partitionBy("source", "part").orderBy("digest", "doc_id", "chars").rowsBetween(W.unboundedPreceding, W.currentRow)
-        ids = ids.withColumn("part", cell).withColumn("before", F.sum("tokens").over(within) - F.col("tokens"))
-    parts = ids.groupBy("source", "part").agg(F.sum("tokens").alias("n"))
-    queue = W.partitionBy("source").orderBy("part")
-    bases = stored(parts.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), (F.sum("n").over(queue) - F.col("n")).alias("base"), "n"), "queues")
+    ids = stored(tokenised(df, source_col, text_col, id_col, path, in_order), "tokens")
+    pieces = ["source", "file", "block", "part"] if in_order else ["source", "part"]
+    parts = ids.groupBy(*pieces).agg(F.sum("tokens").alias("n"))
+    # numbers of files have five digits or more
+    queue = W.partitionBy("source").orderBy(*[F.length("file"), "file", "block"] * in_order, "part")
+    bases = stored(parts.select(*[F.col(c).alias(f"b_{c}") for c in pieces], (F.sum("n").over(queue) - F.col("n")).alias("base"), "n"), "queues")
     totals = {r[0]: r[1] for r in bases.groupBy("b_source").agg(F.sum("n")).collect()}  # a row for each source
     names = sorted(totals)
     named = None if weights is None else {"none" if k is None else f"s:{k}": v for k, v in weights.items()}
     mixture = Mixture([totals[s] for s in names], None if named is None else [named.get(s, 0) for s in names])
     index = {s: i for i, s in enumerate(names)}
     small = bases.count() <= BROADCAST_ROWS
-    placed = ids.join(F.broadcast(bases) if small else bases, (F.col("source") == F.col("b_source")) & (F.col("part") == F.col("b_part")))
+    placed = ids.join(F.broadcast(bases) if small else bases, [F.col(c) == F.col(f"b_{c}") for c in pieces])
     placed = placed.select("doc_id", "source", (F.col("base") + F.col("before")).alias("at"), "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
