@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: Spark's setting by which a query that has ended leaves no shuffle files.
 FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: The tables, with their paths, that go at the end of the innermost ``passing``.
+_going: ContextVar[dict[DataFrame, str] | None] = ContextVar("going", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,13 +78,44 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` as Parquet into the shared folder and reads it back, which cuts the lineage.
 
     Any executor can read the files again, so a lost executor costs nothing that is in them, and
-    nothing needs the shuffle files that led to them.
+    nothing needs the shuffle files that led to them. They stay, unless that is within ``passing``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     with shuffles_freed(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    if (going := _going.get()) is not None:
+        going[out] = path
+    return out
+
+
+@contextmanager
+def passing(*given: DataFrame) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """The tables that ``stored`` writes in here are deleted at the end, also after an error.
+
+    So are ``given`` ones of the ``passing`` around this one. Gives a function for tables that are
+    still read later: such a table stays, or goes at the end of the ``passing`` around this one.
+    Nothing that reads another one lazily may leave.
+    """
+    around = _going.get()
+    own = {table: around.pop(table) for table in given}
+
+    def stays(table: DataFrame) -> DataFrame:
+        path = own.pop(table)
+        if around is not None:
+            around[table] = path
+        return table
+
+    token = _going.set(own)
+    try:
+        yield stays
+    finally:
+        _going.reset(token)
+        for table, path in own.items():
+            spark = table.sparkSession
+            file = spark._jvm.org.apache.hadoop.fs.Path(path)
+            file.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file, True)
 
 
 def numbered_columns(df: DataFrame) -> list[Column]:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessaria.llm.common import stored
+from tessaria.llm.common import passing, stored
 from tessaria.llm.components import components
 
 SEED = 42
@@ -154,11 +154,12 @@ def verified(pairs: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likenes
     one = pairs.join(own, F.col("a") == F.col("p_node")).select("a", "b", F.col("p_n").alias("a_n"), F.col("p_cells").alias("a_cells"))
     differ = F.aggregate(F.zip_with("a_cells", "p_cells", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     sized = rule.possible(F.col("a_n"), F.lit(0), F.col("p_n"), F.lit(0))
-    close = stored(one.join(own, F.col("b") == F.col("p_node")).filter(sized & rule.near(differ, F.col("a_n") + F.col("p_n"))).select("a", "b"), "close")
-    wanted = few(stored(close.select(F.explode(F.array("a", "b")).alias("w_row")).distinct(), "wanted"))
-    own = texts.join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
-    left = close.join(own, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
-    return stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike(rule, F.col("ta"), F.col("t")).alias("alike")).filter("alike").select("a", "b"), "links")
+    with passing() as stays:
+        close = stored(one.join(own, F.col("b") == F.col("p_node")).filter(sized & rule.near(differ, F.col("a_n") + F.col("p_n"))).select("a", "b"), "close")
+        wanted = few(stored(close.select(F.explode(F.array("a", "b")).alias("w_row")).distinct(), "wanted"))
+        own = texts.join(wanted, F.col("t_row") == F.col("w_row"), "left_semi")
+        left = close.join(own, F.col("a") == F.col("t_row")).select("a", "b", F.col("t").alias("ta"))
+        return stays(stored(left.join(own, F.col("b") == F.col("t_row")).select("a", "b", _alike(rule, F.col("ta"), F.col("t")).alias("alike")).filter("alike").select("a", "b"), "links"))
 
 
 def _dealt(state: DataFrame) -> DataFrame:
@@ -213,7 +214,7 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
         """All rows with each one's group."""
         if links is None:
             return held.select(*names, F.col("node").alias("group"))
-        groups = stored(components(links, "a", "b"), "groups").withColumnRenamed("node", "g_node")
+        groups = components(links, "a", "b").withColumnRenamed("node", "g_node")
         return stored(held.join(few(groups), F.col("node") == F.col("g_node"), "left").select(*names, F.coalesce("root", "node").alias("group")), "grouped")
 
     def still_apart(state: DataFrame) -> DataFrame:
@@ -221,28 +222,29 @@ def connect(held: DataFrame, cells: DataFrame, texts: DataFrame, rule: Likeness,
         several = stored(state.groupBy("token").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("token"), "several")
         return state.join(few(several), "token", "left_semi")
 
-    def joined(links: DataFrame | None, pairs: DataFrame) -> DataFrame:
-        found = verified(pairs, cells, texts, rule)
+    def joined(links: DataFrame | None, found: DataFrame) -> DataFrame:
         return found if links is None else links.unionByName(found)
 
     for orders in ROUNDS:
-        state = grouped(links)
-        firsts = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "group")).alias(f"f{k}") for k in orders]
-        first = state.groupBy("token").agg(*firsts, F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi")  # members in several groups
-        first = stored(first.drop("lo", "hi").withColumnRenamed("token", "f_token"), "first")
-        other = [F.min(F.when(F.col("group") != F.col(f"f{k}.group"), F.col(f"f{k}"))).alias(f"f{k}") for k in orders]
-        met = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(*other)
-        pairs = met.select(F.col("node").alias("a"), F.explode(F.array_compact(F.array(*[f"f{k}.node" for k in orders]))).alias("b"))
-        links = joined(links, pairs)
+        with passing() as stays:
+            state = grouped(links)
+            firsts = [F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node", "group")).alias(f"f{k}") for k in orders]
+            first = state.groupBy("token").agg(*firsts, F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi")  # members in several groups
+            first = stored(first.drop("lo", "hi").withColumnRenamed("token", "f_token"), "first")
+            other = [F.min(F.when(F.col("group") != F.col(f"f{k}.group"), F.col(f"f{k}"))).alias(f"f{k}") for k in orders]
+            met = state.join(first, F.col("token") == F.col("f_token")).groupBy("node").agg(*other)
+            pairs = met.select(F.col("node").alias("a"), F.explode(F.array_compact(F.array(*[f"f{k}.node" for k in orders]))).alias("b"))
+            links = joined(links, stays(verified(pairs, cells, texts, rule)))
     for most in (PARTNERS, None):
-        state = grouped(links)
-        if most is not None:
-            state = still_apart(state)
-            ordered = F.array_sort(F.collect_list(F.struct(F.xxhash64("token").alias("h"), *names, "group")))  # one text's keys
-            state = state.groupBy("node").agg(F.slice(ordered, 1, LOOKED_IN).alias("r")).select(F.explode("r").alias("r")).select(*[F.col(f"r.{c}") for c in ("token", "node", "n", "pos", "size", "group")])
-            state = stored(state, "open")
-        pieces = _dealt(state).join(own, F.col("node") == F.col("c_node"))
-        cut = pieces.groupBy("token", "cell").agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
-        rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("cell.across"), most)).alias("l"))
-        links = joined(links, rest.select("l.a", "l.b"))
+        with passing() as stays:
+            state = grouped(links)
+            if most is not None:
+                state = still_apart(state)
+                ordered = F.array_sort(F.collect_list(F.struct(F.xxhash64("token").alias("h"), *names, "group")))  # one text's keys
+                state = state.groupBy("node").agg(F.slice(ordered, 1, LOOKED_IN).alias("r")).select(F.explode("r").alias("r")).select(*[F.col(f"r.{c}") for c in ("token", "node", "n", "pos", "size", "group")])
+                state = stored(state, "open")
+            pieces = _dealt(state).join(own, F.col("node") == F.col("c_node"))
+            cut = pieces.groupBy("token", "cell").agg(F.collect_list(F.struct("node", "n", "pos", "group", "part", "parity")).alias("members"))
+            rest = cut.filter(F.size("members") > 1).select(F.explode(_open_pairs(rule, "members", F.col("cell.across"), most)).alias("l"))
+            links = joined(links, stays(verified(rest.select("l.a", "l.b"), cells, texts, rule)))
     return links

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessaria.llm.common import no_clash, shared_dir, stored, table, text_of
+from tessaria.llm.common import no_clash, passing, shared_dir, stored, table, text_of
 from tessaria.llm.components import components
 from tessaria.llm.linking import Likeness, connect, few, parity, shared_keys, shingles
 
@@ -258,8 +258,9 @@ def drop_near_duplicates(df: DataFrame, text_col: str = "text", id_col: str = "d
     repeats = few(stored(repeats, "repeats"))
     # the others are the nodes: they stay where their prefixes were written
     nodes = keyed.join(repeats, F.col("own.row") == F.col("repeat"), "left_anti").select(F.col("own.row").alias("node"), "n", "tokens", "fp", "parity")
-    links = near_links(nodes, rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
-    roots = components(links, "a", "b")
+    with passing() as stays:
+        links = near_links(nodes, rows.select(F.col(n["row"]).alias("t_row"), text_of(text_col).alias("t")))
+        roots = stays(stored(components(links, "a", "b"), "roots"))
     grouped = keyed.select("own").join(repeats, F.col("own.row") == F.col("repeat"), "left").select("own", F.coalesce("rep", "own.row").alias("rep")).join(roots, F.col("rep") == F.col("node"), "left")
     least = grouped.groupBy(F.coalesce("root", "rep").alias("group")).agg(F.min("own").alias("own")).select(F.col("own.row").alias(n["keep"]))
     return rows.join(least, F.col(n["row"]) == F.col(n["keep"]), "left_semi").select(*df.columns)
